@@ -10,61 +10,66 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+SCHEMAS = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp_ntz",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_linenumber int, "
+    "l_returnflag string, l_linestatus string",
+    "documents": "doc_id bigint, text string, lang string, source string",
+}
+
+
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
-def _id_of(name: str) -> Column:
+def _id_of(name: str) -> str:
     """A stable 60-bit number for a name, computed row by row."""
-    return F.conv(F.substring(F.md5(name), 1, 15), 16, 10).cast("long")
+    return f"CAST(conv(substring(md5({name}), 1, 15), 16, 10) AS BIGINT)"
 
 
 def orders(spark: SparkSession, folder: str) -> DataFrame:
-    key = F.col("o_orderkey")
-    number = (key % 100 + 1).cast("int")
-    status = F.col("o_orderstatus")
-    return _table(spark, folder, "orders").select(
-        key.alias("order_id"),
-        F.col("o_custkey").alias("user_id"),
-        F.when(status == "F", " Prior ")
-        .when(status == "O", "TRAIN")
-        .otherwise("test")
-        .alias("eval_set"),
-        number.alias("order_number"),
-        (F.dayofweek("o_orderdate") - 1).alias("order_dow"),
-        (key % 24).cast("int").alias("order_hour_of_day"),
-        F.when(number > 1, (key % 31).cast("double")).alias("days_since_prior_order"),
+    return _table(spark, folder, "orders").selectExpr(
+        "o_orderkey AS order_id",
+        "o_custkey AS user_id",
+        "CASE o_orderstatus WHEN 'F' THEN ' Prior ' WHEN 'O' THEN 'TRAIN' ELSE 'test' END"
+        " AS eval_set",
+        "CAST(o_orderkey % 100 + 1 AS INT) AS order_number",
+        "dayofweek(o_orderdate) - 1 AS order_dow",
+        "CAST(o_orderkey % 24 AS INT) AS order_hour_of_day",
+        "CASE WHEN o_orderkey % 100 > 0 THEN CAST(o_orderkey % 31 AS DOUBLE) END"
+        " AS days_since_prior_order",
     )
 
 
 def aisles(spark: SparkSession, folder: str) -> DataFrame:
-    names = _table(spark, folder, "part").select(F.col("p_type").alias("aisle")).distinct()
-    return names.select(_id_of("aisle").alias("aisle_id"), "aisle")
+    names = _table(spark, folder, "part").selectExpr("p_type AS aisle").distinct()
+    return names.selectExpr(f"{_id_of('aisle')} AS aisle_id", "aisle")
 
 
 def departments(spark: SparkSession, folder: str) -> DataFrame:
-    names = _table(spark, folder, "part").select(F.col("p_brand").alias("department")).distinct()
-    return names.select(_id_of("department").alias("department_id"), "department")
+    names = _table(spark, folder, "part").selectExpr("p_brand AS department").distinct()
+    return names.selectExpr(f"{_id_of('department')} AS department_id", "department")
 
 
 def products(spark: SparkSession, folder: str) -> DataFrame:
-    return _table(spark, folder, "part").select(
-        F.col("p_partkey").alias("product_id"),
-        F.col("p_name").alias("product_name"),
-        _id_of("p_type").alias("aisle_id"),
-        _id_of("p_brand").alias("department_id"),
+    return _table(spark, folder, "part").selectExpr(
+        "p_partkey AS product_id",
+        "p_name AS product_name",
+        f"{_id_of('p_type')} AS aisle_id",
+        f"{_id_of('p_brand')} AS department_id",
     )
 
 
 def _lines(spark: SparkSession, folder: str, status: str) -> DataFrame:
     return (
         _table(spark, folder, "lineitem")
-        .filter(F.col("l_linestatus") == status)
-        .select(
-            F.col("l_orderkey").alias("order_id"),
-            F.col("l_partkey").alias("product_id"),
-            F.col("l_linenumber").alias("add_to_cart_order"),
-            F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("reordered"),
+        .filter(f"l_linestatus = '{status}'")
+        .selectExpr(
+            "l_orderkey AS order_id",
+            "l_partkey AS product_id",
+            "l_linenumber AS add_to_cart_order",
+            "CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS reordered",
         )
     )
 
@@ -93,13 +98,12 @@ def messy_orders(spark: SparkSession, folder: str) -> DataFrame:
 
 def messy_products(spark: SparkSession, folder: str) -> DataFrame:
     """Products with untidy, blank or missing names, and ids that occur twice."""
-    size, name = F.col("p_size"), F.col("p_name")
-    untidy = F.concat(F.lit("  "), F.upper(name), F.lit("\t  "), F.col("p_type"), F.lit(" "))
-    base = _table(spark, folder, "part").select(
-        F.col("p_partkey").alias("product_id"),
-        F.when(size == 1, "   ").when(size != 2, untidy).alias("product_name"),
-        F.when(size != 3, _id_of("p_type")).alias("aisle_id"),
-        _id_of("p_brand").alias("department_id"),
+    base = _table(spark, folder, "part").selectExpr(
+        "p_partkey AS product_id",
+        "CASE WHEN p_size = 1 THEN '   ' WHEN p_size != 2"
+        " THEN concat('  ', upper(p_name), char(9), '  ', p_type, ' ') END AS product_name",
+        f"CASE WHEN p_size != 3 THEN {_id_of('p_type')} END AS aisle_id",
+        f"{_id_of('p_brand')} AS department_id",
     )
     again = base.withColumn("product_name", F.concat(F.lit("A second "), "product_name"))
     return base.unionByName(again)

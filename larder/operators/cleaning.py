@@ -20,12 +20,9 @@ def acceptable(df: DataFrame, spec: TableSpec) -> DataFrame:
         **{name: fn.collapse_spaces(F.col(name)) for name in spec.collapsed},
         **{name: fn.number_or_null(F.col(name)) for name in spec.tolerant},
     }
-    kept = df.dropna(subset=list(spec.required))
-    if standard:
-        kept = kept.withColumns(standard)
-    for predicate in spec.domain:
-        kept = kept.filter(F.expr(predicate))
-    return kept
+    complete = df.filter(" AND ".join(f"{name} IS NOT NULL" for name in spec.required))
+    kept = complete.withColumns(standard) if standard else complete
+    return kept.filter(" AND ".join(f"({rule})" for rule in spec.domain))
 
 
 def one_per_key(df: DataFrame, keys: Sequence[str], rank: Sequence[str] = ()) -> DataFrame:

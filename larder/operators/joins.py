@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from larder.sources.workspace import staged
+
 # A key with this many rows on the large side is split over several tasks.
 HOT_ROWS = 1_000_000
 
@@ -41,16 +43,21 @@ def fits_broadcast(
 
 
 def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys that hold at least ``hot_rows`` rows, each with its number of shares.
+    """Keys that hold about ``hot_rows`` rows or more, each with its number of shares.
 
-    Counting combines on the map side, and at most ``rows / hot_rows`` keys can
-    qualify, which is what makes the result safe to broadcast.
+    Keys are counted in a sample just large enough to tell: a key at the limit
+    still has a thousand sampled rows or, where the limit is lower, all of its
+    rows.  So next to nothing is shuffled to find them, and at most about
+    ``rows / hot_rows`` keys qualify.
     """
+    fraction = min(1.0, 1000.0 / hot_rows)
+    counted = df.select(key) if fraction == 1.0 else df.select(key).sample(fraction, seed=7)
+    estimate = F.col("_n") / F.lit(fraction)
     return (
-        df.groupBy(key)
+        counted.groupBy(key)
         .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") >= hot_rows)
-        .select(key, F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias("_shares"))
+        .filter(estimate >= 0.9 * hot_rows)
+        .select(key, F.ceil(estimate / F.lit(hot_rows)).cast("int").alias("_shares"))
     )
 
 
@@ -68,14 +75,21 @@ def spread_join(
     Rows of a hot key are divided by a hash of ``spread_by`` into as many
     shares as the key needs, and its single lookup row is repeated once per
     share.  Other keys have one share, so nothing else grows: all repeats
-    together number at most twice ``rows / hot_rows``.
+    together number about twice ``rows / hot_rows``.  Without hot keys it is a
+    plain join.
+
+    Finding the hot keys runs a job over ``counted`` (default ``large``; pass
+    the plain scan if ``large`` is expensive).  If there are any they are
+    written down, so both sides go by the same list whatever is recomputed
+    later; which keys are on it decides how rows travel, never which match.
 
-    ``counted`` is the table whose rows are counted per key (default ``large``;
-    pass the plain scan if ``large`` is expensive).  The share number stays in
-    the result as ``_salt``: with it in their keys, later groupings can go on
-    from the partitioning this join leaves behind.
+    The share number stays in the result as ``_salt``: with it in their keys,
+    later groupings can go on from the partitioning this join leaves behind.
     """
-    hot = F.broadcast(hot_keys(large if counted is None else counted, key, hot_rows))
+    hot = hot_keys(large if counted is None else counted, key, hot_rows)
+    if hot.isEmpty():
+        return large.withColumn(SALT, F.lit(0)).join(lookup, key, how)
+    hot = F.broadcast(staged(hot))
     shares = F.coalesce("_shares", F.lit(1))
     salted = large.join(hot, key, "left").withColumn(
         SALT, F.pmod(F.xxhash64(*spread_by), shares).cast("int")

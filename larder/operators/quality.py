@@ -5,12 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from larder import LarderError
-from larder import functions as fn
 from larder.sources.json import to_document
 from larder.tables import QUALITY_SCHEMA, TableSpec
 
@@ -36,79 +35,81 @@ def schema_checks(df: DataFrame, spec: TableSpec, dataset: str | None = None) ->
 
 def profile(df: DataFrame, spec: TableSpec) -> DataFrame:
     """One row: total rows, nulls per column, failed casts per expected column."""
-    nulls = [F.count_if(F.col(c).isNull()).alias(f"null__{c}") for c in df.columns]
+    nulls = [F.expr(f"count_if(`{c}` IS NULL) AS `null__{c}`") for c in df.columns]
     bad_casts = [
-        F.count_if(
-            F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull()
-        ).alias(f"invalid__{f.name}")
+        F.expr(
+            f"count_if(`{f.name}` IS NOT NULL"
+            f" AND try_cast(`{f.name}` AS {f.dataType.simpleString()}) IS NULL)"
+            f" AS `invalid__{f.name}`"
+        )
         for f in spec.schema.fields
         if f.name in df.columns
     ]
     return df.agg(F.count(F.lit(1)).alias("total_rows"), *nulls, *bad_casts)
 
 
-def _metric(
-    dataset: str, check: str, column: str, metric: str, value: Column, status: Column
-) -> Column:
-    parts = [F.lit(dataset), F.lit(check), F.lit(column), F.lit(metric), value, status]
-    names = QUALITY_SCHEMA.fieldNames()
-    return F.struct(*[part.alias(name) for part, name in zip(parts, names)])
+def _metric(dataset: str, check: str, column: str, metric: str, value: str, status: str) -> str:
+    """A report row as a SQL struct; ``value`` and ``status`` are SQL expressions."""
+    parts = [f"'{dataset}'", f"'{check}'", f"'{column}'", f"'{metric}'", value, status]
+    named = [f"{part} AS {name}" for part, name in zip(parts, QUALITY_SCHEMA.fieldNames())]
+    return f"struct({', '.join(named)})"
+
+
+def _flag(count: str, otherwise: str) -> str:
+    return f"CASE WHEN {count} = 0 THEN 'PASS' ELSE '{otherwise}' END"
 
 
-def _flag(count: Column, otherwise: str) -> Column:
-    return F.when(count == 0, "PASS").otherwise(otherwise)
+def _text(count: str) -> str:
+    return f"CAST({count} AS STRING)"
 
 
-def _null_metrics(profiled: DataFrame, dataset: str) -> list[Column]:
+def _null_metrics(profiled: DataFrame, dataset: str) -> list[str]:
     found = []
     for label in profiled.columns:
         if label.startswith("null__"):
-            column, n = label.removeprefix("null__"), F.col(label)
-            share = fn.percent(n, F.col("total_rows"), 4)
+            column, n = label.removeprefix("null__"), f"`{label}`"
+            share = f"format_string('%.4f', rint({n} / total_rows * 100 * 1e4D) / 1e4D)"
             status = _flag(n, "WARN")
-            found += [
-                _metric(dataset, "null", column, "null_count", n.cast("string"), status),
-                _metric(dataset, "null", column, "null_pct", F.format_string("%.4f", share), status),
-            ]
+            found.append(_metric(dataset, "null", column, "null_count", _text(n), status))
+            found.append(_metric(dataset, "null", column, "null_pct", share, status))
     return found
 
 
-def _cast_metrics(profiled: DataFrame, dataset: str) -> list[Column]:
-    found = []
-    for label in profiled.columns:
-        if label.startswith("invalid__"):
-            column, n = label.removeprefix("invalid__"), F.col(label)
-            found.append(
-                _metric(
-                    dataset,
-                    "dtype",
-                    column,
-                    "invalid_cast_count",
-                    n.cast("string"),
-                    _flag(n, "FAIL"),
-                )
-            )
-    return found
+def _cast_metrics(profiled: DataFrame, dataset: str) -> list[str]:
+    return [
+        _metric(
+            dataset,
+            "dtype",
+            label.removeprefix("invalid__"),
+            "invalid_cast_count",
+            _text(f"`{label}`"),
+            _flag(f"`{label}`", "FAIL"),
+        )
+        for label in profiled.columns
+        if label.startswith("invalid__")
+    ]
+
+
+def _rows(one_row: DataFrame, metrics: Sequence[str]) -> DataFrame:
+    return one_row.selectExpr(f"inline(array({', '.join(metrics)}))")
 
 
 def null_checks(profiled: DataFrame, dataset: str) -> DataFrame:
     """Null count and percentage per column; none for an empty table."""
-    metrics = F.array(*_null_metrics(profiled, dataset))
-    return profiled.filter("total_rows > 0").select(F.inline(metrics))
+    return _rows(profiled.filter("total_rows > 0"), _null_metrics(profiled, dataset))
 
 
 def cast_checks(profiled: DataFrame, dataset: str) -> DataFrame:
     """Values that are not of the expected type; none for an empty table."""
-    metrics = F.array(*_cast_metrics(profiled, dataset))
-    return profiled.filter("total_rows > 0").select(F.inline(metrics))
+    return _rows(profiled.filter("total_rows > 0"), _cast_metrics(profiled, dataset))
 
 
 def value_checks(df: DataFrame, spec: TableSpec, dataset: str | None = None) -> DataFrame:
     """Null and cast checks from one pass over the data."""
     name = dataset or spec.name
     profiled = profile(df, spec)
-    metrics = F.array(*_null_metrics(profiled, name), *_cast_metrics(profiled, name))
-    return profiled.filter("total_rows > 0").select(F.inline(metrics))
+    metrics = _null_metrics(profiled, name) + _cast_metrics(profiled, name)
+    return _rows(profiled.filter("total_rows > 0"), metrics)
 
 
 def duplicate_checks(df: DataFrame, keys: Sequence[str], dataset: str) -> DataFrame:
@@ -116,24 +117,21 @@ def duplicate_checks(df: DataFrame, keys: Sequence[str], dataset: str) -> DataFr
     groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     totals = groups.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
-        F.count(F.lit(1)).alias("distinct"),
+        F.count(F.lit(1)).alias("distinct_keys"),
     )
+    excess = "(total - distinct_keys)"
+    metrics = [
+        ("total_rows", "total", "'INFO'"),
+        ("distinct_keys", "distinct_keys", "'INFO'"),
+        ("duplicate_rows", excess, _flag(excess, "WARN")),
+    ]
     column = ",".join(keys)
-    total, distinct = F.col("total"), F.col("distinct")
-    excess = total - distinct
-    info = F.lit("INFO")
-
-    def metric(name: str, value: Column, status: Column) -> Column:
-        return _metric(dataset, "duplicate", column, name, value.cast("string"), status)
-
-    return totals.select(
-        F.inline(
-            F.array(
-                metric("total_rows", total, info),
-                metric("distinct_keys", distinct, info),
-                metric("duplicate_rows", excess, _flag(excess, "WARN")),
-            )
-        )
+    return _rows(
+        totals,
+        [
+            _metric(dataset, "duplicate", column, name, _text(value), status)
+            for name, value, status in metrics
+        ],
     )
 
 
