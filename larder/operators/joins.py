@@ -42,7 +42,7 @@ def fits_broadcast(
     return size["n"] <= max_rows and size["bytes"] <= max_bytes
 
 
-def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def hot_keys(df: DataFrame, key: str, hot_rows: int | None = None) -> DataFrame:
     """Keys that hold about ``hot_rows`` rows or more, each with its number of shares.
 
     Keys are counted in a sample just large enough to tell: a key at the limit
@@ -50,6 +50,7 @@ def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     rows.  So next to nothing is shuffled to find them, and at most about
     ``rows / hot_rows`` keys qualify.
     """
+    hot_rows = hot_rows or HOT_ROWS
     fraction = min(1.0, 1000.0 / hot_rows)
     counted = df.select(key) if fraction == 1.0 else df.select(key).sample(fraction, seed=7)
     estimate = F.col("_n") / F.lit(fraction)
@@ -68,7 +69,7 @@ def spread_join(
     spread_by: Sequence[str],
     how: str = "inner",
     counted: DataFrame | None = None,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Equi-join that stays balanced when a few keys hold most of the rows.
 
