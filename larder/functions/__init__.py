@@ -11,7 +11,7 @@ WHITE_SPACE = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-LINE_END = r"\r\n|[\n\x0B\f\r\x1C\x1D\x1E\x{85}\x{2028}\x{2029}]"
+LINE_ENDS = "\n\r\v\f\x1c\x1d\x1e\x85\u2028\u2029"
 
 
 def collapse_spaces(text: Column) -> Column:
@@ -47,3 +47,13 @@ def rounded(value: Column, places: int) -> Column:
 
 def percent(part: Column, whole: Column, places: int = 2) -> Column:
     return rounded(ratio(part, whole) * 100.0, places)
+
+
+def ended_lines(text: Column) -> Column:
+    """The text with ``\\n`` for every kind of line end, the last line ended too."""
+    other_ends = "\r\n|[" + LINE_ENDS.replace("\n", "") + "]"
+    # an empty text has no line to end: its last character, "", counts as contained
+    ended = F.contains(F.lit(LINE_ENDS), F.right(text, F.lit(1)))
+    return F.concat(
+        F.regexp_replace(text, other_ends, "\n"), F.when(ended, "").otherwise("\n")
+    )

@@ -27,16 +27,13 @@ def fits_broadcast(
 
     At most ``max_rows + 1`` rows are looked at, however large ``df`` is.
     """
-    widths = [
-        F.coalesce(F.octet_length(f.name), F.lit(0)) + 16
-        if isinstance(f.dataType, T.StringType)
-        else F.lit(8)
+    width = " + ".join(
+        f"coalesce(octet_length(`{f.name}`), 0) + 16" if f.dataType == T.StringType() else "8"
         for f in df.schema.fields
-    ]
-    width = sum(widths[1:], widths[0]).cast("long")
+    )
     size = (
         df.limit(max_rows + 1)
-        .agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes"))
+        .selectExpr("count(*) AS n", f"coalesce(sum(CAST({width} AS BIGINT)), 0) AS bytes")
         .first()
     )
     return size["n"] <= max_rows and size["bytes"] <= max_bytes
@@ -53,12 +50,12 @@ def hot_keys(df: DataFrame, key: str, hot_rows: int | None = None) -> DataFrame:
     hot_rows = hot_rows or HOT_ROWS
     fraction = min(1.0, 1000.0 / hot_rows)
     counted = df.select(key) if fraction == 1.0 else df.select(key).sample(fraction, seed=7)
-    estimate = F.col("_n") / F.lit(fraction)
+    estimate = f"_n / {fraction}D"
     return (
         counted.groupBy(key)
         .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(estimate >= 0.9 * hot_rows)
-        .select(key, F.ceil(estimate / F.lit(hot_rows)).cast("int").alias("_shares"))
+        .filter(f"{estimate} >= {0.9 * hot_rows}D")
+        .selectExpr(key, f"CAST(ceil({estimate} / {hot_rows}) AS INT) AS _shares")
     )
 
 

@@ -31,11 +31,9 @@ def with_sections(reports: DataFrame) -> DataFrame:
     and of sections with the same name the last one counts.
     """
     text = F.col("text")
-    # one kind of line end, none after the last line, one before the first
-    lines = F.concat(
-        F.lit("\n"), F.regexp_replace(F.regexp_replace(text, fn.LINE_END, "\n"), r"\n\z", "")
-    )
-    pieces = F.when(text != "", F.split(lines, HEADING)).otherwise(F.array().cast("array<string>"))
+    # cut before every heading; the one added last only ends the text's final piece
+    lines = F.concat(F.lit("\n"), fn.ended_lines(text), F.lit("## "))
+    pieces = F.split(lines, HEADING)
 
     def section(piece: Column, at: Column) -> Column:
         # ahead of the first heading a piece has no heading line but starts with "\n"
@@ -71,19 +69,25 @@ def recommendations(text: Column) -> Column:
     return F.filter(F.transform(items, fn.strip), lambda item: item != "")
 
 
+def _exploded(reports: DataFrame, array: Column, position: str, item: str) -> DataFrame:
+    """One row per array entry.
+
+    The outer form, because Spark would filter on the size of an inner one
+    first and so compute the array twice.
+    """
+    rows = reports.select("doc_id", F.posexplode_outer(array).alias(position, item))
+    return rows.filter(F.col(position).isNotNull())
+
+
 def report_sections(reports: DataFrame) -> DataFrame:
     """One row per report and section."""
-    found = with_sections(reports).select(
-        "doc_id", F.posexplode("sections").alias("section_no", "found")
-    )
+    found = _exploded(with_sections(reports), F.col("sections"), "section_no", "found")
     return found.select("doc_id", "section_no", "found.section", "found.body")
 
 
 def report_recommendations(reports: DataFrame) -> DataFrame:
     """One row per report and recommendation."""
-    return reports.select(
-        "doc_id", F.posexplode(recommendations(F.col("text"))).alias("item_no", "recommendation")
-    )
+    return _exploded(reports, recommendations(F.col("text")), "item_no", "recommendation")
 
 
 def _body_of(found: Column, section: str) -> Column:
