@@ -49,33 +49,36 @@ def _products(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _departments(spark: SparkSession, folder: str) -> DataFrame:
-    return kpis.gold_department_metrics(_fact(spark, folder))
+    return kpis.department_metrics(_fact(spark, folder))
 
 
 def _baskets(spark: SparkSession, folder: str) -> DataFrame:
-    return kpis.gold_basket_metrics(kpis.order_level(_fact(spark, folder)))
+    return kpis.basket_metrics(kpis.order_level(_fact(spark, folder)))
 
 
 def _customers(spark: SparkSession, folder: str) -> DataFrame:
-    return kpis.gold_customer_metrics(kpis.order_level(_fact(spark, folder)))
+    return kpis.customer_metrics(kpis.order_level(_fact(spark, folder)))
 
 
 def _gold(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The gold tables, written and read back, for documents that read them repeatedly."""
+    """The KPI tables, written and read back, for documents that read them repeatedly."""
     fact = staged(_fact(spark, folder).select(*tables.KPI_FACT_COLUMNS))
     products = staged(kpis.product_aggregates(fact))
     orders = staged(kpis.order_level(fact))
-    found = gold.gold_tables(products, orders, fact)
-    for name in ("gold_department_metrics", "gold_customer_metrics"):
-        found[name] = staged(found[name])
-    return found
+    return {
+        "gold_top_products": products,
+        "gold_reorder_metrics": kpis.product_rates(products),
+        "gold_department_metrics": staged(kpis.department_metrics(fact)),
+        "gold_basket_metrics": kpis.basket_metrics(orders),
+        "gold_customer_metrics": staged(kpis.customer_metrics(orders)),
+    }
 
 
 def _counted(parts: dict[str, DataFrame], label: str) -> DataFrame:
     """Rows per named table, from one pass over each."""
     return quality.union_checks(
         [
-            df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias(label), "n_rows")
+            df.agg(F.count("*").alias("n_rows")).select(F.lit(name).alias(label), "n_rows")
             for name, df in parts.items()
         ]
     )
@@ -415,7 +418,7 @@ def gold_reorder_metrics(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def gold_department_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    return _departments(spark, folder)
+    return kpis.gold_department_metrics(_fact(spark, folder))
 
 
 @query
@@ -425,12 +428,12 @@ def order_level(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def gold_basket_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    return _baskets(spark, folder)
+    return kpis.gold_basket_metrics(kpis.order_level(_fact(spark, folder)))
 
 
 @query
 def gold_customer_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    return _customers(spark, folder)
+    return kpis.gold_customer_metrics(kpis.order_level(_fact(spark, folder)))
 
 
 # --- reports -----------------------------------------------------------------
@@ -443,8 +446,7 @@ def top_products_n(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def top_reorder_n(spark: SparkSession, folder: str) -> DataFrame:
-    rates = kpis.gold_reorder_metrics(staged(_products(spark, folder)))
-    return reports.reorder_ranking(rates)
+    return reports.reorder_ranking(kpis.product_rates(staged(_products(spark, folder))))
 
 
 @query
@@ -526,9 +528,9 @@ def dashboard_overview(spark: SparkSession, folder: str) -> DataFrame:
     """The headline numbers, where the stored report knows only some."""
     fresh = _overview(_gold(spark, folder))
     stored = adapters.orders(spark, folder).agg(
-        F.count(F.lit(1)).alias("total_orders"), F.lit(None).cast("long").alias("total_customers")
+        F.count("*").alias("total_orders"), F.lit(None).cast("long").alias("total_customers")
     )
-    return reports.dashboard_overview(fresh, stored)
+    return reports.dashboard_overview(fresh, stored, STAMP)
 
 
 @query

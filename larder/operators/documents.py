@@ -5,13 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larder import functions as fn
-from larder.operators import reports
-from larder.operators import report_text
+from larder.operators import report_text, reports
 from larder.sources.json import to_document
 
 Gold = dict[str, DataFrame]
 
+# Fields of listed records, titles of the summary's lists.
+PRODUCT_FIELDS = ("product_id", "product_name", "total_orders", "total_reorders", "reorder_rate")
+RATE_FIELDS = ("product_id", "product_name", "reorder_rate")
+DEPARTMENT_FIELDS = ("department", "total_products_sold", "unique_customers")
+CUSTOMER_FIELDS = ("user_id", "total_orders", "total_products", "avg_basket_size")
+TOP_PRODUCTS_TITLE = "Top 10 products by total order volume"
+TOP_RATES_TITLE = "Top 10 products by reorder rate"
+TOP_DEPARTMENTS_TITLE = "Top 10 departments by products sold"
+
 
 def _listed(rows: DataFrame, *fields: str) -> Column:
     """A short ranked list as an array in rank order, as a scalar subquery.
@@ -46,12 +53,6 @@ def _document(df_session: DataFrame, fields: dict[str, Column], indented: bool)
     )
 
 
-PRODUCT_FIELDS = ("product_id", "product_name", "total_orders", "total_reorders", "reorder_rate")
-RATE_FIELDS = ("product_id", "product_name", "reorder_rate")
-DEPARTMENT_FIELDS = ("department", "total_products_sold", "unique_customers")
-CUSTOMER_FIELDS = ("user_id", "total_orders", "total_products", "avg_basket_size")
-
-
 def kpi_summary(gold: Gold, indented: bool = False) -> DataFrame:
     """The whole KPI summary as one JSON document."""
     products = gold["gold_top_products"]
@@ -94,15 +95,15 @@ def kpi_summary(gold: Gold, indented: bool = False) -> DataFrame:
                 reports.dataset_overview(products, departments, baskets, customers)
             ),
             "top_performing_products": titled(
-                f"Top {n} products by total order volume",
+                TOP_PRODUCTS_TITLE,
                 "products",
                 _listed(reports.top_products(products, n), *PRODUCT_FIELDS),
             ),
             "most_reordered_products": titled(
-                f"Top {n} products by reorder rate", "products", top_rates
+                TOP_RATES_TITLE, "products", top_rates
             ),
             "best_performing_departments": titled(
-                f"Top {n} departments by products sold",
+                TOP_DEPARTMENTS_TITLE,
                 "departments",
                 _listed(reports.top_departments(departments, n), *DEPARTMENT_FIELDS),
             ),
@@ -179,14 +180,10 @@ def dashboards(gold: Gold, last_updated: str, indented: bool = True) -> dict[str
     }
 
 
-def insight_document(reports_table: DataFrame, last_updated: str, indented: bool = True) -> DataFrame:
-    """Assembled reports as documents, one per row, with their stored overview if any."""
+def insight_document(
+    reports_table: DataFrame, last_updated: str, indented: bool = True
+) -> DataFrame:
+    """Assembled reports as documents, one per row."""
     assembled = report_text.assemble_reports(reports_table, last_updated)
-    if "kpi_overview" in reports_table.columns:
-        overview = reports_table.select("doc_id", "kpi_overview")
-        assembled = assembled.join(overview, "doc_id")
-    return assembled.select(
-        to_document(F.struct(*[c for c in assembled.columns if c != "doc_id"]), indented).alias(
-            "document"
-        )
-    )
+    fields = [name for name in assembled.columns if name != "doc_id"]
+    return assembled.select(to_document(F.struct(*fields), indented).alias("document"))

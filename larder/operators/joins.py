@@ -23,20 +23,20 @@ SALT = "_salt"
 def fits_broadcast(
     df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
 ) -> bool:
-    """Measure whether ``df`` is small enough to broadcast (runs a small job).
+    """Measure whether ``df`` is small enough to broadcast (runs one or two small jobs).
 
-    At most ``max_rows + 1`` rows are looked at, however large ``df`` is.
+    Rows are counted first, which for a stored table reads file footers only;
+    text lengths are added up only if there are few enough rows.
     """
-    width = " + ".join(
-        f"coalesce(octet_length(`{f.name}`), 0) + 16" if f.dataType == T.StringType() else "8"
-        for f in df.schema.fields
-    )
-    size = (
-        df.limit(max_rows + 1)
-        .selectExpr("count(*) AS n", f"coalesce(sum(CAST({width} AS BIGINT)), 0) AS bytes")
-        .first()
-    )
-    return size["n"] <= max_rows and size["bytes"] <= max_bytes
+    rows = df.count()
+    if rows > max_rows:
+        return False
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    size = 16 * rows * len(df.columns)
+    if texts and rows:
+        widths = " + ".join(f"coalesce(octet_length(`{name}`), 0)" for name in texts)
+        size += df.selectExpr(f"sum(CAST({widths} AS BIGINT))").first()[0]
+    return size <= max_bytes
 
 
 def hot_keys(df: DataFrame, key: str, hot_rows: int | None = None) -> DataFrame:
@@ -53,7 +53,7 @@ def hot_keys(df: DataFrame, key: str, hot_rows: int | None = None) -> DataFrame:
     estimate = f"_n / {fraction}D"
     return (
         counted.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg(F.count("*").alias("_n"))
         .filter(f"{estimate} >= {0.9 * hot_rows}D")
         .selectExpr(key, f"CAST(ceil({estimate} / {hot_rows}) AS INT) AS _shares")
     )

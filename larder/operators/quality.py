@@ -45,7 +45,7 @@ def profile(df: DataFrame, spec: TableSpec) -> DataFrame:
         for f in spec.schema.fields
         if f.name in df.columns
     ]
-    return df.agg(F.count(F.lit(1)).alias("total_rows"), *nulls, *bad_casts)
+    return df.agg(F.count("*").alias("total_rows"), *nulls, *bad_casts)
 
 
 def _metric(dataset: str, check: str, column: str, metric: str, value: str, status: str) -> str:
@@ -114,10 +114,10 @@ def value_checks(df: DataFrame, spec: TableSpec, dataset: str | None = None) ->
 
 def duplicate_checks(df: DataFrame, keys: Sequence[str], dataset: str) -> DataFrame:
     """Rows, distinct keys and excess rows, from one grouping; null is a key too."""
-    groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    groups = df.groupBy(*keys).agg(F.count("*").alias("n"))
     totals = groups.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
-        F.count(F.lit(1)).alias("distinct_keys"),
+        F.count("*").alias("distinct_keys"),
     )
     excess = "(total - distinct_keys)"
     metrics = [
@@ -157,7 +157,7 @@ def report_table(checks: DataFrame, generated_at: str) -> DataFrame:
 def summary(checks: DataFrame) -> DataFrame:
     status = F.col("status")
     return checks.agg(
-        F.count(F.lit(1)).alias("total_checks"),
+        F.count("*").alias("total_checks"),
         F.count_if(status == "FAIL").alias("failures"),
         F.count_if(status == "WARN").alias("warnings"),
     )
@@ -170,7 +170,7 @@ def summary_document(checks: DataFrame, generated_at: str, indented: bool = True
     status = F.col("status")
     return checks.agg(
         F.struct(
-            F.count(F.lit(1)).alias("total_checks"),
+            F.count("*").alias("total_checks"),
             F.count_if(status == "FAIL").alias("failures"),
             F.count_if(status == "WARN").alias("warnings"),
         ).alias("summary"),

@@ -97,7 +97,8 @@ def _body_of(found: Column, section: str) -> Column:
 def assemble_reports(reports: DataFrame, generated_at: str) -> DataFrame:
     """One row per report, ready to show; a placeholder where its text is null.
 
-    ``reports`` has doc_id and text, and may have model and generated_at.
+    ``reports`` has doc_id and text, and may have model, generated_at and
+    kpi_overview, the numbers that were current when the report was written.
     """
 
     def stored(column: str, default: str) -> Column:
@@ -113,6 +114,7 @@ def assemble_reports(reports: DataFrame, generated_at: str) -> DataFrame:
     )
     advice = recommendations(F.coalesce(_body_of(found, ADVICE_SECTION), text))
     no_text = F.array().cast("array<string>")
+    overview = ["kpi_overview"] if "kpi_overview" in reports.columns else []
     return with_sections(reports).select(
         "doc_id",
         F.when(here, stored("generated_at", generated_at))
@@ -125,4 +127,5 @@ def assemble_reports(reports: DataFrame, generated_at: str) -> DataFrame:
         .alias("sections"),
         F.when(here, advice).otherwise(no_text).alias("recommendations"),
         F.coalesce(text, F.lit("")).alias("full_text"),
+        *overview,
     )

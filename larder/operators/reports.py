@@ -199,7 +199,7 @@ def order_frequency(customers: DataFrame, n: int = FREQUENCY_ROWS) -> DataFrame:
     """Customers per number of orders, for the smallest numbers."""
     return (
         customers.groupBy(F.col("total_orders").alias("orders"))
-        .agg(F.count(F.lit(1)).alias("customers"))
+        .agg(F.count("*").alias("customers"))
         .orderBy("orders")
         .limit(n)
     )
@@ -288,26 +288,32 @@ def top_slices(
     )
 
 
-def dashboard_overview(overview: DataFrame, stored: DataFrame | None = None) -> DataFrame:
+def dashboard_overview(
+    overview: DataFrame, stored: DataFrame | None = None, last_updated: str | None = None
+) -> DataFrame:
     """The headline numbers, preferring those stored with the last report.
 
     ``overview`` is the one-row ``dataset_overview``; ``stored`` one with the
-    same columns, some of them null or absent.
+    same columns and ``last_updated``, some of them null or absent.
     """
-    names = {
+    known = {} if stored is None else dict(stored.dtypes)
+
+    def preferred(column: str, otherwise: Column) -> Column:
+        if column not in known:
+            return otherwise
+        return F.coalesce(stored.agg(F.max(column)).scalar(), otherwise)
+
+    numbers = {
         "total_customers": "total_customers",
         "total_products": "total_unique_products",
         "total_departments": "total_departments",
         "total_transactions": "total_orders",
         "total_line_items": "total_line_items",
     }
-
-    def preferred(column: str) -> Column:
-        if stored is None or column not in stored.columns:
-            return F.col(column)
-        return F.coalesce(stored.select(F.max(column)).scalar(), F.col(column))
-
-    return overview.select(*[preferred(column).alias(name) for name, column in names.items()])
+    shown = [preferred(c, F.col(c)).alias(name) for name, c in numbers.items()]
+    if last_updated is not None:
+        shown.append(preferred("last_updated", F.lit(last_updated)).alias("last_updated"))
+    return overview.select(*shown)
 
 
 def product_search(
@@ -329,5 +335,5 @@ def product_search(
     key = F.collate(sort_by, "UNICODE") if sort_by == "product_name" else F.col(sort_by)
     order = [key.desc() if descending else key.asc(), F.asc("product_id")]
     return top_n(found, order, n).withColumn(
-        "matches", found.agg(F.count(F.lit(1))).scalar()
+        "matches", found.agg(F.count("*")).scalar()
     )

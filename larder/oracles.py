@@ -609,7 +609,8 @@ _QUERIES = {
     "dataset_overview": f"SELECT {_OVERVIEW}",
     "dashboard_overview": f"""
         SELECT total_customers, total_unique_products AS total_products, total_departments,
-               (SELECT count(*) FROM orders) AS total_transactions, total_line_items
+               (SELECT count(*) FROM orders) AS total_transactions, total_line_items,
+               '2024-01-01T00:00:00+00:00' AS last_updated
         FROM (SELECT {_OVERVIEW})""",
     "reorder_highlights": f"""
         SELECT {_round('avg(reorder_rate)', 4)} AS overall_avg_reorder_rate,

@@ -85,7 +85,7 @@ def _whole_records(scan: DataFrame, spec: TableSpec, watch: Observation | str) -
     """
     return scan.observe(
         watch,
-        F.count(F.lit(1)).alias("n_records"),
+        F.count("*").alias("n_records"),
         F.count(CORRUPT).alias("n_malformed"),
         *[F.count(name).alias(f"n_{name}") for name in spec.columns],
     )

@@ -171,7 +171,7 @@ def test_unknown_departments_count_for_products_only(spark):
         "order_id long, user_id long, product_id long, product_name string,"
         " department string, reordered int",
     )
-    assert kpis.gold_department_metrics(fact).collect() == [("d", 1, 1)]
+    assert kpis.department_metrics(fact).collect() == [("d", 1, 1)]
     assert kpis.product_aggregates(fact).count() == 2
     assert kpis.order_level(fact).collect() == [(1, 1, 2)]
 
@@ -179,9 +179,12 @@ def test_unknown_departments_count_for_products_only(spark):
 def test_overview_prefers_stored_numbers(spark, gold, products, departments, baskets, customers):
     fresh = staged(reports.dataset_overview(products, departments, baskets, customers))
     assert reports.dashboard_overview(fresh).first().total_products == 2000
-    stored = spark.createDataFrame([(7, None)], "total_orders long, total_customers long")
-    shown = reports.dashboard_overview(fresh, stored).first()
+    stored = spark.createDataFrame(
+        [(7, None, "then")], "total_orders long, total_customers long, last_updated string"
+    )
+    shown = reports.dashboard_overview(fresh, stored, "now").first()
     assert (shown.total_transactions, shown.total_customers) == (7, 1500)
+    assert shown.last_updated == "then"
 
 
 def test_documents(gold):
