@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from larder import functions as fn
 from larder import tables
-from larder.operators.joins import SALT, lookup_join, spread_join
+from larder.operators.joins import SALT, find_hot_keys, lookup_join, spread_join
 from larder.tables import TableSpec
 
 
@@ -81,6 +81,21 @@ def distinct_keys(df: DataFrame, key: str) -> DataFrame:
     return df.select(key).distinct()
 
 
+def mergeable_lines(lines: DataFrame, hot_orders: DataFrame | None) -> DataFrame:
+    """Acceptable lines; copies already merged if one line has very many of them.
+
+    Duplicates are usually few, and removing them after the order join saves a
+    shuffle.  But copies of one line all go the same way, however its order is
+    spread.  Where they are many they are merged first, on the map side; that
+    takes a hot order, so without one there is nothing to look for.
+    """
+    spec = tables.MERGED_LINES
+    rows = acceptable(lines, spec)
+    if hot_orders is None or find_hot_keys(lines, *spec.key) is None:
+        return rows
+    return one_per_key(rows, spec.key, spec.rank)
+
+
 def clean_order_products(
     lines: DataFrame, orders: DataFrame, products: DataFrame
 ) -> DataFrame:
@@ -91,8 +106,9 @@ def clean_order_products(
     lines move over the network once.
     """
     spec = tables.MERGED_LINES
+    hot_orders = find_hot_keys(lines, "order_id")
     known = lookup_join(
-        acceptable(lines, spec),
+        mergeable_lines(lines, hot_orders),
         products.select("product_id"),
         "product_id",
         spread_by=["order_id", "add_to_cart_order"],
@@ -104,9 +120,10 @@ def clean_order_products(
         orders.select("order_id"),
         "order_id",
         spread_by=["product_id", "add_to_cart_order"],
+        hot=hot_orders,
         how="left_semi",
-        counted=lines,
     )
-    return one_per_key(placed, ["order_id", SALT, "product_id", "add_to_cart_order"], spec.rank).select(
-        *spec.columns
+    once = one_per_key(
+        placed, ["order_id", SALT, "product_id", "add_to_cart_order"], spec.rank
     )
+    return once.select(*spec.columns)

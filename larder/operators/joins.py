@@ -39,7 +39,7 @@ def fits_broadcast(
     return size <= max_bytes
 
 
-def hot_keys(df: DataFrame, key: str, hot_rows: int | None = None) -> DataFrame:
+def hot_keys(df: DataFrame, *key: str, hot_rows: int | None = None) -> DataFrame:
     """Keys that hold about ``hot_rows`` rows or more, each with its number of shares.
 
     Keys are counted in a sample just large enough to tell: a key at the limit
@@ -49,45 +49,49 @@ def hot_keys(df: DataFrame, key: str, hot_rows: int | None = None) -> DataFrame:
     """
     hot_rows = hot_rows or HOT_ROWS
     fraction = min(1.0, 1000.0 / hot_rows)
-    counted = df.select(key) if fraction == 1.0 else df.select(key).sample(fraction, seed=7)
+    counted = df.select(*key) if fraction == 1.0 else df.select(*key).sample(fraction, seed=7)
     estimate = f"_n / {fraction}D"
     return (
-        counted.groupBy(key)
+        counted.groupBy(*key)
         .agg(F.count("*").alias("_n"))
         .filter(f"{estimate} >= {0.9 * hot_rows}D")
-        .selectExpr(key, f"CAST(ceil({estimate} / {hot_rows}) AS INT) AS _shares")
+        .selectExpr(*key, f"CAST(ceil({estimate} / {hot_rows}) AS INT) AS _shares")
     )
 
 
+def find_hot_keys(df: DataFrame, *key: str) -> DataFrame | None:
+    """The hot keys of ``df``, written down, or None (runs a small job).
+
+    Written down, so that whoever uses them goes by the same list, whatever is
+    recomputed later.
+    """
+    hot = hot_keys(df, *key)
+    return None if hot.isEmpty() else staged(hot)
+
+
 def spread_join(
     large: DataFrame,
     lookup: DataFrame,
     key: str,
     spread_by: Sequence[str],
+    hot: DataFrame | None,
     how: str = "inner",
-    counted: DataFrame | None = None,
-    hot_rows: int | None = None,
 ) -> DataFrame:
     """Equi-join that stays balanced when a few keys hold most of the rows.
 
-    Rows of a hot key are divided by a hash of ``spread_by`` into as many
-    shares as the key needs, and its single lookup row is repeated once per
-    share.  Other keys have one share, so nothing else grows: all repeats
-    together number about twice ``rows / hot_rows``.  Without hot keys it is a
-    plain join.
-
-    Finding the hot keys runs a job over ``counted`` (default ``large``; pass
-    the plain scan if ``large`` is expensive).  If there are any they are
-    written down, so both sides go by the same list whatever is recomputed
-    later; which keys are on it decides how rows travel, never which match.
+    ``hot`` is what ``find_hot_keys`` gave for the large side.  Rows of a hot
+    key are divided by a hash of ``spread_by`` into as many shares as the key
+    needs, and its single lookup row is repeated once per share.  Other keys
+    have one share, so nothing else grows: all repeats together number about
+    twice ``rows / HOT_ROWS``.  Which keys are hot decides how rows travel,
+    never which match.  Without hot keys it is a plain join.
 
     The share number stays in the result as ``_salt``: with it in their keys,
     later groupings can go on from the partitioning this join leaves behind.
     """
-    hot = hot_keys(large if counted is None else counted, key, hot_rows)
-    if hot.isEmpty():
+    if hot is None:
         return large.withColumn(SALT, F.lit(0)).join(lookup, key, how)
-    hot = F.broadcast(staged(hot))
+    hot = F.broadcast(hot)
     shares = F.coalesce("_shares", F.lit(1))
     salted = large.join(hot, key, "left").withColumn(
         SALT, F.pmod(F.xxhash64(*spread_by), shares).cast("int")
@@ -110,8 +114,10 @@ def lookup_join(
     """Broadcast the lookup side if it measures small, else a spread join.
 
     ``measured`` is what to measure in place of ``lookup`` when that is costly
-    to compute and a larger plain scan bounds its size.
+    to compute and a larger plain scan bounds its size; ``counted`` likewise
+    where to look for hot keys in place of ``large``.
     """
     if fits_broadcast(lookup if measured is None else measured):
         return large.join(F.broadcast(lookup), key, how)
-    return spread_join(large, lookup, key, spread_by, how, counted).drop(SALT)
+    hot = find_hot_keys(large if counted is None else counted, key)
+    return spread_join(large, lookup, key, spread_by, hot, how).drop(SALT)

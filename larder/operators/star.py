@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from larder import tables
 from larder.operators import cleaning
-from larder.operators.joins import SALT, lookup_join, spread_join
+from larder.operators.joins import SALT, find_hot_keys, lookup_join, spread_join
 
 ORDER_CONTEXT = ["order_id", "user_id", "order_dow", "order_hour_of_day"]
 
@@ -40,6 +40,7 @@ def retail_transactions(
         orders.select(*ORDER_CONTEXT),
         "order_id",
         spread_by=["product_id", "add_to_cart_order"],
+        hot=find_hot_keys(lines, "order_id"),
     )
     return _with_products(in_order, products, aisles, departments, lines, products)
 
@@ -57,13 +58,13 @@ def transactions_from_raw(
     separate reference checks are left out, and duplicates are removed inside
     the partitions of the order join instead of after a shuffle of their own.
     """
-    spec = tables.MERGED_LINES
+    hot_orders = find_hot_keys(lines, "order_id")
     in_order = spread_join(
-        cleaning.acceptable(lines, spec),
+        cleaning.mergeable_lines(lines, hot_orders),
         cleaning.clean_orders(orders, columns=ORDER_CONTEXT),
         "order_id",
         spread_by=["product_id", "add_to_cart_order"],
-        counted=lines,
+        hot=hot_orders,
     )
     context = [name for name in ORDER_CONTEXT if name != "order_id"]
     once = in_order.groupBy(

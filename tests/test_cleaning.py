@@ -135,6 +135,21 @@ def test_lines_and_transactions(lines, references, monkeypatch, hot_rows, broadc
     assert list(map(tuple, in_one.orderBy(*order).collect())) == WIDE
 
 
+def test_many_copies_are_merged_before_they_travel(spark, lines, monkeypatch):
+    monkeypatch.setattr(joins, "HOT_ROWS", 50)
+    rule = tables.MERGED_LINES
+    assert joins.find_hot_keys(lines, "order_id") is None
+    plain = cleaning.mergeable_lines(lines, None)
+    assert plain.count() == cleaning.acceptable(lines, rule).count()
+    copies = lines.unionByName(spark.range(200).selectExpr(
+        "1L AS order_id", "1L AS product_id", "1 AS add_to_cart_order", "0 AS reordered"
+    ))
+    merged = cleaning.mergeable_lines(copies, joins.find_hot_keys(copies, "order_id"))
+    assert merged.filter("order_id = 1 AND product_id = 1 AND add_to_cart_order = 1").collect() == [
+        (1, 1, 1, 1)
+    ]
+
+
 def test_union_and_keys(spark, lines):
     shuffled = lines.select("reordered", "product_id", "order_id", "add_to_cart_order")
     merged = cleaning.merge_order_products(lines, shuffled)

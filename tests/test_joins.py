@@ -38,16 +38,19 @@ def test_sampling_finds_hot_keys(spark):
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 @pytest.mark.parametrize("hot_rows", [50, 1_000_000])
-def test_spread_join_equals_a_plain_join(skewed, how, hot_rows):
+def test_spread_join_equals_a_plain_join(skewed, how, hot_rows, monkeypatch):
+    monkeypatch.setattr(joins, "HOT_ROWS", hot_rows)
     rows, lookup = skewed
-    joined = joins.spread_join(rows, lookup, "k", ["v"], how, hot_rows=hot_rows)
+    hot = joins.find_hot_keys(rows, "k")
+    assert (hot is None) == (hot_rows > 50)
+    joined = joins.spread_join(rows, lookup, "k", ["v"], hot, how)
     plain = rows.join(lookup, "k", how)
     assert values(joined, *plain.columns) == values(plain, *plain.columns)
 
 
 def test_a_hot_key_is_divided(skewed):
     rows, lookup = skewed
-    joined = joins.spread_join(rows, lookup, "k", ["v"], hot_rows=100)
+    joined = joins.spread_join(rows, lookup, "k", ["v"], joins.hot_keys(rows, "k", hot_rows=100))
     shares = joined.filter("k = 7").groupBy(joins.SALT).count().collect()
     total = rows.filter("k = 7").count()
     assert len(shares) == -(-total // 100)
