@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from larder import adapters, tables
 from larder import functions as fn
 from larder.operators import cleaning, documents, kpis, quality, report_text, reports, star
 from larder.plans import export, gold, ingest, silver
+from larder.plans.together import together
 from larder.sources import csv, parquet
 from larder.sources.json import read_document
 from larder.sources.workspace import staged, work_dir
@@ -63,14 +65,20 @@ def _customers(spark: SparkSession, folder: str) -> DataFrame:
 def _gold(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """The KPI tables, written and read back, for documents that read them repeatedly."""
     fact = staged(_fact(spark, folder).select(*tables.KPI_FACT_COLUMNS))
-    products = staged(kpis.product_aggregates(fact))
-    orders = staged(kpis.order_level(fact))
+    made = together(
+        spark,
+        {
+            "products": lambda: staged(kpis.product_aggregates(fact)),
+            "departments": lambda: staged(kpis.department_metrics(fact)),
+            "orders": lambda: staged(kpis.order_level(fact)),
+        },
+    )
     return {
-        "gold_top_products": products,
-        "gold_reorder_metrics": kpis.product_rates(products),
-        "gold_department_metrics": staged(kpis.department_metrics(fact)),
-        "gold_basket_metrics": kpis.basket_metrics(orders),
-        "gold_customer_metrics": staged(kpis.customer_metrics(orders)),
+        "gold_top_products": made["products"],
+        "gold_reorder_metrics": kpis.product_rates(made["products"]),
+        "gold_department_metrics": made["departments"],
+        "gold_basket_metrics": kpis.basket_metrics(made["orders"]),
+        "gold_customer_metrics": staged(kpis.customer_metrics(made["orders"])),
     }
 
 
@@ -144,8 +152,10 @@ def _ingested(spark: SparkSession, folder: str) -> str:
         "order_products__prior": _untidy_lines(adapters.prior_lines(spark, folder)),
         "order_products__train": adapters.train_lines(spark, folder),
     }
-    for name, df in sources.items():
-        _write_csv(df, f"{base}/raw/{name}.csv")
+    together(
+        spark,
+        {name: partial(_write_csv, df, f"{base}/raw/{name}.csv") for name, df in sources.items()},
+    )
     ingest.ingest_all(spark, f"{base}/raw", f"{base}/bronze")
     return f"{base}/bronze"
 
@@ -199,8 +209,15 @@ def _built_silver(spark: SparkSession, folder: str) -> str:
         tables.PRIOR_LINES: adapters.prior_lines,
         tables.TRAIN_LINES: adapters.train_lines,
     }
-    for spec, adapter in sources.items():
-        parquet.write_table(adapter(spark, folder), f"{root}/bronze", spec.name)
+    together(
+        spark,
+        {
+            spec.name: partial(
+                parquet.write_table, adapter(spark, folder), f"{root}/bronze", spec.name
+            )
+            for spec, adapter in sources.items()
+        },
+    )
     silver.build_silver(spark, f"{root}/bronze", f"{root}/silver")
     return f"{root}/silver"
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime, timezone
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from larder import LarderError
 from larder.operators import documents
 from larder.plans.gold import read_gold
+from larder.plans.together import together
 from larder.sources.json import write_document
 
 INSIGHTS = "ai_insights.json"
@@ -42,6 +44,11 @@ def export_dashboards(
     now = datetime.now(timezone.utc).isoformat()
     written = documents.dashboards(read_gold(spark, gold), now)
     written[INSIGHTS] = documents.insight_document(report, now)
-    for name, document in written.items():
-        write_document(document, f"{out}/{name}")
+    together(
+        spark,
+        {
+            name: partial(write_document, document, f"{out}/{name}")
+            for name, document in written.items()
+        },
+    )
     return {name: f"{out}/{name}" for name in written}

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from larder import tables
 from larder.operators import kpis, quality
+from larder.plans.together import together
 from larder.sources.parquet import read_table, write_table
 
 
@@ -41,9 +44,20 @@ def build_gold(spark: SparkSession, silver: str, gold: str) -> dict[str, str]:
     fact = read_fact(spark, silver)
     products = kpis.product_aggregates(fact).persist(StorageLevel.MEMORY_AND_DISK)
     orders = kpis.order_level(fact).persist(StorageLevel.MEMORY_AND_DISK)
+    found = gold_tables(products, orders, fact)
+
+    def write(*names: str) -> None:
+        for name in names:
+            write_gold(found[name], gold, name)
+
+    # one after the other what shares an aggregate, so that it is computed once
+    chains = (
+        ("gold_top_products", "gold_reorder_metrics"),
+        ("gold_department_metrics",),
+        ("gold_basket_metrics", "gold_customer_metrics"),
+    )
     try:
-        for name, table in gold_tables(products, orders, fact).items():
-            write_gold(table, gold, name)
+        together(spark, {names[0]: partial(write, *names) for names in chains})
     finally:
         products.unpersist()
         orders.unpersist()

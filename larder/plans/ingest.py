@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import SparkSession
 
+from larder.plans.together import together
 from larder.sources.csv import ingest_csv
 from larder.tables import RAW_TABLES
 
@@ -11,9 +14,10 @@ from larder.tables import RAW_TABLES
 def ingest_all(spark: SparkSession, raw: str, bronze: str) -> dict[str, int]:
     """Ingest ``raw/<table>.csv`` of every table; returns rows per table.
 
-    The first input that is missing or empty ends the run with an error.
+    An input that is missing or empty ends the run with an error.
     """
-    return {
-        spec.name: ingest_csv(spark, f"{raw}/{spec.name}.csv", spec, bronze).valid
+    jobs = {
+        spec.name: partial(ingest_csv, spark, f"{raw}/{spec.name}.csv", spec, bronze)
         for spec in RAW_TABLES
     }
+    return {name: count.valid for name, count in together(spark, jobs).items()}

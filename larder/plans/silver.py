@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from datetime import datetime, timezone
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
 from larder import tables
 from larder.operators import cleaning, quality, star
+from larder.plans.together import together
 from larder.sources.json import write_document
 from larder.sources.parquet import read_table, rewrite_table, write_table
+from larder.tables import TableSpec
 
 
 def check_bronze(bronze: dict[str, DataFrame], merged: DataFrame) -> DataFrame:
@@ -41,20 +44,29 @@ def build_silver(spark: SparkSession, bronze: str, silver: str) -> dict[str, int
         inputs[tables.PRIOR_LINES.name], inputs[tables.TRAIN_LINES.name]
     )
     generated_at = datetime.now(timezone.utc).isoformat()
-    rows = {}
 
-    checks = quality.report_table(check_bronze(inputs, merged), generated_at)
-    report, rows[tables.QUALITY_REPORT] = rewrite_table(checks, silver, tables.QUALITY_REPORT)
-    write_document(
-        quality.summary_document(report, generated_at), f"{silver}/{tables.QUALITY_REPORT}.json"
-    )
+    def report() -> tuple[DataFrame, int]:
+        checks = quality.report_table(check_bronze(inputs, merged), generated_at)
+        table, n = rewrite_table(checks, silver, tables.QUALITY_REPORT)
+        document = quality.summary_document(table, generated_at)
+        write_document(document, f"{silver}/{tables.QUALITY_REPORT}.json")
+        return table, n
 
-    cleaned = {}
-    for spec in (tables.ORDERS, tables.PRODUCTS, tables.DEPARTMENTS, tables.AISLES):
-        name = f"clean_{spec.name}"
-        cleaned[spec.name], rows[name] = rewrite_table(
-            cleaning.clean(inputs[spec.name], spec), silver, name
+    def cleaned_table(spec: TableSpec) -> tuple[DataFrame, int]:
+        return rewrite_table(
+            cleaning.clean(inputs[spec.name], spec), silver, f"clean_{spec.name}"
         )
+
+    single = [tables.ORDERS, tables.PRODUCTS, tables.DEPARTMENTS, tables.AISLES]
+    written = together(
+        spark,
+        {
+            tables.QUALITY_REPORT: report,
+            **{f"clean_{spec.name}": partial(cleaned_table, spec) for spec in single},
+        },
+    )
+    rows = {name: n for name, (_, n) in written.items()}
+    cleaned = {spec.name: written[f"clean_{spec.name}"][0] for spec in single}
     orders, products = cleaned["orders"], cleaned["products"]
     lines, rows["clean_order_products"] = rewrite_table(
         cleaning.clean_order_products(merged, orders, products), silver, "clean_order_products"
