@@ -5,14 +5,14 @@ from __future__ import annotations
 from datetime import datetime, timezone
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder import LarderError
-from larder.operators import documents
+from larder.operators import documents, reports
 from larder.plans.gold import read_gold
 from larder.plans.together import together
-from larder.sources.json import write_document
+from larder.sources.json import read_document, write_document
 
 INSIGHTS = "ai_insights.json"
 
@@ -52,3 +52,35 @@ def export_dashboards(
         },
     )
     return {name: f"{out}/{name}" for name in written}
+
+
+def read_overview(spark: SparkSession, out: str) -> DataFrame:
+    """The headline numbers of exported documents, in one row.
+
+    Numbers stored with the report come first, then those of the tables.
+    """
+    shown = {
+        name: read_document(spark, f"{out}/{name}")
+        for name in (
+            "top_products.json",
+            "department_metrics.json",
+            "basket_metrics.json",
+            "customer_metrics.json",
+            INSIGHTS,
+        )
+    }
+
+    def figure(document: str, path: str) -> Column:
+        return shown[document].select(path).scalar()
+
+    overview = spark.range(1).select(
+        figure("top_products.json", "total_products").alias("total_unique_products"),
+        figure("department_metrics.json", "total_departments").alias("total_departments"),
+        figure("basket_metrics.json", "summary.total_orders").alias("total_orders"),
+        figure("customer_metrics.json", "summary.total_customers").alias("total_customers"),
+        figure("basket_metrics.json", "summary.total_line_items").alias("total_line_items"),
+    )
+    insights = shown[INSIGHTS]
+    numbers = ["kpi_overview.*"] if "kpi_overview" in insights.columns else []
+    stored = insights.select("last_updated", *numbers)
+    return reports.dashboard_overview(overview, stored, last_updated="")

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from larder import LarderError
+
 
 def to_document(fields: Column, indented: bool = False) -> Column:
     return F.to_json(fields, {"pretty": "true"} if indented else {})
@@ -16,4 +19,8 @@ def write_document(df: DataFrame, path: str) -> None:
 
 
 def read_document(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.json(path, multiLine=True)
+    """A written document as one row, its fields as columns."""
+    try:
+        return spark.read.json(path, multiLine=True)
+    except AnalysisException as problem:
+        raise LarderError(f"no such document: {path}") from problem

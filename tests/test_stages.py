@@ -7,8 +7,10 @@ import pytest
 
 import __spark_entry__ as driver
 from larder import LarderError, adapters, catalog, tables
+from larder.__main__ import main
 from larder.operators import cleaning, quality, reports
 from larder.plans import export, gold, ingest, silver
+from larder.plans.together import together
 from larder.sources import parquet
 from larder.sources.json import read_document
 
@@ -113,10 +115,34 @@ def test_export(spark, stages, tmp_path):
     insights = shown["ai_insights.json"]
     assert insights["sections"] == {"executive_summary": "fine"}
     assert insights["kpi_overview"] == {"total_orders": 3}
+    overview = export.read_overview(spark, str(tmp_path)).first()
+    assert overview.last_updated == insights["last_updated"]
+    # the report stored 3 orders only; the other numbers are those of the tables
+    assert overview[:5] == (2, 3, 2, 3, 5)
     paths = export.export_dashboards(spark, f"{root}/gold", str(tmp_path), require_report=False)
+    assert export.read_overview(spark, str(tmp_path)).first()[:5] == overview[:5]
     assert read_document(spark, paths["ai_insights.json"]).first().model == "pending"
 
 
+def test_command_line(spark, stages, tmp_path, capsys):
+    root = stages[0]
+    main(["gold", f"{root}/silver", str(tmp_path / "gold")])
+    main(["export", str(tmp_path / "gold"), str(tmp_path / "out")])
+    printed = capsys.readouterr().out
+    assert "gold_top_products: " in printed and "ai_insights.json: " in printed
+    with pytest.raises(LarderError, match="no such document"):
+        export.read_overview(spark, str(tmp_path / "nowhere"))
+
+
+def test_jobs_run_together_and_fail_together(spark):
+    assert together(spark, {"a": lambda: spark.range(3).count(), "b": lambda: 2}) == {
+        "a": 3,
+        "b": 2,
+    }
+    with pytest.raises(ZeroDivisionError):
+        together(spark, {"a": lambda: 1, "b": lambda: 1 // 0})
+
+
 def test_missing_gold_is_an_error(spark, tmp_path):
     with pytest.raises(LarderError, match="gold_top_products"):
         gold.read_gold(spark, str(tmp_path))
