@@ -640,14 +640,17 @@ _QUERIES = {
                     THEN 'AI insights will be generated in the next pipeline task.'
                     ELSE coalesce(summary, substr(reports.text, 1, 500)) END AS executive_summary,
                coalesce(sections, '') AS sections,
-               CASE reports.lang
-                    WHEN 'en' THEN 'en' || chr(10) || reports.source
-                    WHEN 'fr' THEN reports.source || chr(10) || '4 x'
-                    ELSE '' END AS recommendations,
+               coalesce(array_to_string(list_filter(
+                   list_transform(
+                       regexp_extract_all(coalesce(advice_section, reports.text),
+                                          '(?m)^\\s*\\d+[.)]\\s*(.+)$', 1),
+                       lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g')),
+                   lambda x: x <> ''), chr(10)), '') AS recommendations,
                coalesce(reports.text, '') AS full_text
         FROM reports LEFT JOIN (
             SELECT doc_id, string_agg(section, ',' ORDER BY section) AS sections,
-                   max(body) FILTER (section = 'executive_summary') AS summary
+                   max(body) FILTER (section = 'executive_summary') AS summary,
+                   max(body) FILTER (section = 'key_business_recommendations') AS advice_section
             FROM found_sections GROUP BY doc_id) AS s ON s.doc_id = reports.doc_id""",
 }
 
