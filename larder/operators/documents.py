@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder.operators import report_text, reports
-from larder.sources.json import to_document
+from larder.sources.json import one_row, to_document
 
 Gold = dict[str, DataFrame]
 
@@ -46,11 +46,9 @@ def _buckets(baskets: DataFrame) -> Column:
     return histogram.agg(F.struct(*fields)).scalar()
 
 
-def _document(df_session: DataFrame, fields: dict[str, Column], indented: bool) -> DataFrame:
+def _document(spark: SparkSession, fields: dict[str, Column], indented: bool) -> DataFrame:
     columns = [value.alias(name) for name, value in fields.items()]
-    return df_session.sparkSession.range(1).select(
-        to_document(F.struct(*columns), indented).alias("document")
-    )
+    return one_row(spark).select(to_document(F.struct(*columns), indented).alias("document"))
 
 
 def kpi_summary(gold: Gold, indented: bool = False) -> DataFrame:
@@ -89,7 +87,7 @@ def kpi_summary(gold: Gold, indented: bool = False) -> DataFrame:
         "top_reorder_rate_products", top_rates
     )
     return _document(
-        products,
+        products.sparkSession,
         {
             "dataset_overview": _row(
                 reports.dataset_overview(products, departments, baskets, customers)
@@ -175,7 +173,7 @@ def dashboards(gold: Gold, last_updated: str, indented: bool = True) -> dict[str
         },
     }
     return {
-        name: _document(products, {"last_updated": stamp, **fields}, indented)
+        name: _document(products.sparkSession, {"last_updated": stamp, **fields}, indented)
         for name, fields in documents.items()
     }
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from larder import LarderError
-from larder.sources.json import to_document
+from larder.sources.json import one_row, to_document
 from larder.tables import QUALITY_SCHEMA, TableSpec
 
 
@@ -29,8 +29,11 @@ def schema_checks(df: DataFrame, spec: TableSpec, dataset: str | None = None) ->
             verdict = "PASS" if actual[name] == wanted else "FAIL"
             found.append((name, "expected_type", wanted, verdict))
             found.append((name, "actual_type", actual[name], verdict))
-    rows = [(dataset or spec.name, "schema", *check) for check in found]
-    return df.sparkSession.createDataFrame(rows, QUALITY_SCHEMA)
+    metrics = [
+        _metric(dataset or spec.name, "schema", column, metric, f"'{value}'", f"'{status}'")
+        for column, metric, value, status in found
+    ]
+    return _rows(one_row(df.sparkSession), metrics)
 
 
 def profile(df: DataFrame, spec: TableSpec) -> DataFrame:
@@ -90,8 +93,9 @@ def _cast_metrics(profiled: DataFrame, dataset: str) -> list[str]:
     ]
 
 
-def _rows(one_row: DataFrame, metrics: Sequence[str]) -> DataFrame:
-    return one_row.selectExpr(f"inline(array({', '.join(metrics)}))")
+def _rows(figures: DataFrame, metrics: Sequence[str]) -> DataFrame:
+    """The metrics as rows, computed from a table of at most one row."""
+    return figures.selectExpr(f"inline(array({', '.join(metrics)}))")
 
 
 def null_checks(profiled: DataFrame, dataset: str) -> DataFrame:

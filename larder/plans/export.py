@@ -12,14 +12,14 @@ from larder import LarderError
 from larder.operators import documents, reports
 from larder.plans.gold import read_gold
 from larder.plans.together import together
-from larder.sources.json import read_document, write_document
+from larder.sources.json import one_row, read_document, write_document
 
 INSIGHTS = "ai_insights.json"
 
 
 def no_report(spark: SparkSession) -> DataFrame:
     """A report row without text, which is shown as a placeholder."""
-    return spark.range(1).select(
+    return one_row(spark).select(
         F.col("id").alias("doc_id"), F.lit(None).cast("string").alias("text")
     )
 
@@ -73,7 +73,7 @@ def read_overview(spark: SparkSession, out: str) -> DataFrame:
     def figure(document: str, path: str) -> Column:
         return shown[document].select(path).scalar()
 
-    overview = spark.range(1).select(
+    overview = one_row(spark).select(
         figure("top_products.json", "total_products").alias("total_unique_products"),
         figure("department_metrics.json", "total_departments").alias("total_departments"),
         figure("basket_metrics.json", "summary.total_orders").alias("total_orders"),

@@ -9,6 +9,11 @@ from pyspark.sql import functions as F
 from larder import LarderError
 
 
+def one_row(spark: SparkSession) -> DataFrame:
+    """A table of a single row, in a single partition, to select results into."""
+    return spark.range(0, 1, 1, 1)
+
+
 def to_document(fields: Column, indented: bool = False) -> Column:
     return F.to_json(fields, {"pretty": "true"} if indented else {})
 
