@@ -6,6 +6,7 @@ import zlib
 from bisect import bisect_left, insort
 from collections import defaultdict
 from collections.abc import Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +18,8 @@ from larder.llm.common import by_batch, group_starts, sorted_groups
 from larder.sources.workspace import staged
 
 CAPACITY = 4096
+SIGNS = bytes(set(range(33, 127)) - set(b"0123456789") - set(range(65, 91)) - set(range(97, 123)))
+PLAIN = "\u0180"  # letters before this one have one simple lower case
 END = 1  # id after each document
 GROUP = 8192  # pieces that one packing task works on, on average
 SWAP_ROUNDS = 4
@@ -24,28 +27,51 @@ NEAREST = 48  # exchanges looked at for each bin
 
 
 class WordIds(dict):
-    """Token ids of words, as little-endian 32-bit integers; bounded by starting over."""
+    """Token ids of words, as little-endian 32-bit integers; bounded by starting over.
 
-    LIMIT = 300_000
+    The vocabulary works on runs of letters, digits and other signs in lower case.
+    Many rare words are one known word with signs behind it, so the ids of a new word
+    are put together from those of its stem and its last signs.
+    """
+
+    LIMIT = 500_000
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
-
-    def learn(self, words: list[bytes]) -> None:
-        new = list({w for w in words if w not in self})
-        if len(self) + len(new) > self.LIMIT:
+        self.run = self.tokenizer.model.tokenize
+        self.parts: dict[bytes, bytes] = {}
+        # the vocabulary writes a byte that prints as itself, the others in order from 256
+        printed = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = [b for b in range(256) if b not in printed]
+        signs = {b: chr(b) for b in printed} | {b: chr(256 + i) for i, b in enumerate(others)}
+        self.sign = [signs[b] for b in range(256)]
+
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) >= self.LIMIT:
             self.clear()
-            new = list(set(words))
-        for at in range(0, len(new), 5000):
-            some = new[at : at + 5000]
-            coded = self.tokenizer.encode_batch_fast(
-                [w.decode() for w in some], add_special_tokens=False
-            )
-            for word, c in zip(some, coded, strict=True):
-                self[word] = np.array(c.ids, "<u4").tobytes()
+        stem = word.rstrip(SIGNS)
+        if stem and len(stem) < len(word) and stem.decode()[-1].isalpha():
+            ids = self.part(stem) + self.part(word[len(stem) :])
+        else:
+            ids = self.part(word)
+        self[word] = ids
+        return ids
+
+    def part(self, word: bytes) -> bytes:
+        ids = self.parts.get(word)
+        if ids is None:
+            if len(self.parts) >= self.LIMIT:
+                self.parts.clear()
+            text = word.decode().lower()
+            if text.isalpha() and max(text) < PLAIN and is_normalized("NFC", text):
+                coded = [t.id for t in self.run("".join([self.sign[b] for b in text.encode()]))]
+            else:
+                coded = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
+            self.parts[word] = ids = np.array(coded, "<u4").tobytes()
+        return ids
 
 
 # One per Python worker: learning words is most of the work.
@@ -56,25 +82,17 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFra
     """doc_id, piece, start, length and ids_crc32 of the pieces of all documents.
 
     ``tokenizer``: file of a vocabulary that works word by word and drops white
-    space, so ids of a text are those of its words one after another.
+    space, so ids of a text are those of its words one after another; it also writes
+    all in lower case.
     """
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
-        import os
-
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         known = _ids.get(tokenizer) or _ids.setdefault(tokenizer, WordIds(tokenizer))
         texts = pc.cast(pc.fill_null(batch.column("text"), ""), pa.large_binary())
         out: dict[str, list] = defaultdict(list)
         end = END.to_bytes(4, "little")
         for doc, text in zip(batch.column("doc_id").to_pylist(), texts.to_pylist(), strict=True):
-            words = text.split()
-            try:
-                ids = b"".join(map(known.__getitem__, words))
-            except KeyError:
-                known.learn(words)
-                ids = b"".join(map(known.__getitem__, words))
-            ids += end
+            ids = b"".join(map(known.__getitem__, text.lower().split())) + end
             for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                 part = ids[at : at + 4 * capacity]
                 out["doc_id"].append(doc)
