@@ -14,6 +14,13 @@ from larder.sources.workspace import staged
 BITS = 128
 LONGEST_TERM = 31  # a term weighs its bytes, at most this
 
+# What tells documents apart: doc_id, or that there is none, and a hash of the text.
+KEY = [
+    F.coalesce(F.col("doc_id"), F.lit(0)).alias("_id"),
+    F.col("doc_id").isNull().alias("_none"),
+    F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("_k"),
+]
+
 
 def fingerprints(texts: DataFrame, *ids: str) -> DataFrame:
     """128-bit SimHash of ``text``, as 32 hex digits, for each distinct ``ids``.
@@ -103,50 +110,38 @@ def edited_pairs(docs: DataFrame) -> DataFrame:
     Edited: the last floor(n/2) code points give way to the first as many (or all)
     of the next document's text, by ascending doc_id, the first after the last.
     Ids and lengths are put in order without the texts; then each text sends its
-    first part to the document before it.  Columns: doc_id, _k, next_id, next_k, n,
+    first part to the document before it.  Columns: the key, next_ and the key, n,
     text, edited.
     """
     texts = docs.select(
-        "doc_id",
-        F.xxhash64(F.coalesce("text", F.lit(""))).alias("_k"),
+        *KEY,
         F.coalesce("text", F.lit("")).alias("text"),
     )
-    ids = (
-        texts.select("doc_id", "_k", F.length("text").cast("long").alias("n"))
-        .groupBy("doc_id", "_k", "n")
-        .agg(F.lit(1).alias("_one"))
-        .drop("_one")
-    )
-    order = in_order(ids, "doc_id", "_k").select("doc_id", "_k", "n", "pos")
+    key = ["_id", "_none", "_k"]
+    ids = texts.select(*key, F.length("text").cast("long").alias("n")).distinct()
+    order = in_order(ids.withColumn("_has", ~F.col("_none")), "_has", "_id", "_k")
+    order = order.select(*key, "n", "pos")
     count = order.agg(F.count("*").alias("_count"))
     turned = order.crossJoin(F.broadcast(count)).withColumn(  # one row: the count
         "_next", F.pmod(F.col("pos") + 1, F.col("_count"))
     )
-    nexts = order.select(
-        F.col("doc_id").alias("next_id"), F.col("_k").alias("next_k"), F.col("pos").alias("_next")
-    )
-    links = staged(turned.join(nexts, "_next").select("doc_id", "_k", "n", "next_id", "next_k"))
+    nexts = order.select(*[F.col(k).alias(f"next{k}") for k in key], F.col("pos").alias("_next"))
+    next_key = [f"next{k}" for k in key]
+    links = staged(turned.join(nexts, "_next").select(*key, "n", *next_key))
 
-    sender = texts.alias("t").join(
-        links.alias("l"),
-        F.col("t.doc_id").eqNullSafe(F.col("l.next_id")) & (F.col("t._k") == F.col("l.next_k")),
+    senders = links.select(
+        *[F.col(f"next{k}").alias(k) for k in key], *[F.col(k).alias(f"to{k}") for k in key], "n"
     )
-    parts = sender.select(
-        F.col("l.doc_id").alias("to_id"),
-        F.col("l._k").alias("to_k"),
+    parts = texts.join(senders, key).select(
+        *[F.col(f"to{k}").alias(k) for k in key],
+        *[F.col(k).alias(f"next{k}") for k in key],
         "n",
-        "next_id",
-        "next_k",
         F.substring("text", F.lit(1), F.floor(F.col("n") / 2).cast("int")).alias("_part"),
     )
     kept = (F.col("n") - F.floor(F.col("n") / 2)).cast("int")
-    return texts.join(
-        parts, texts["doc_id"].eqNullSafe(parts["to_id"]) & (texts["_k"] == parts["to_k"])
-    ).select(
-        "doc_id",
-        "_k",
-        "next_id",
-        "next_k",
+    return texts.join(parts, key).select(
+        *key,
+        *next_key,
         "n",
         "text",
         F.concat(F.substring("text", F.lit(1), kept), F.col("_part")).alias("edited"),
@@ -168,16 +163,17 @@ def fingerprint_report(docs: DataFrame, radius: int = 3, every: int = 100) -> Da
     next.  An empty table gives an empty result.
     """
     pairs = edited_pairs(docs)
-    ids = ["doc_id", "_k", "next_id", "next_k", "n", "sha"]
-    both = pairs.withColumn("sha", F.sha2("edited", 256)).select(
-        *ids,
-        F.explode(
-            F.array(
-                F.struct(F.lit(0).alias("edited"), F.col("text").alias("text")),
-                F.struct(F.lit(1).alias("edited"), F.col("edited").alias("text")),
-            )
-        ).alias("_v"),
-    ).select(*ids, F.col("_v.edited").alias("_edited"), F.col("_v.text").alias("text"))
+    key = ["_id", "_none", "_k"]
+    ids = [*key, *[f"next{k}" for k in key], "n", "sha"]
+    texts = F.array(
+        F.struct(F.lit(0).alias("edited"), F.col("text").alias("text")),
+        F.struct(F.lit(1).alias("edited"), F.col("edited").alias("text")),
+    )
+    both = (
+        pairs.withColumn("sha", F.sha2("edited", 256))
+        .select(*ids, F.explode(texts).alias("_v"))
+        .select(*ids, F.col("_v.edited").alias("_edited"), F.col("_v.text").alias("text"))
+    )
     prints = fingerprints(both, *ids, "_edited")
     own = staged(
         prints.groupBy(*ids).agg(
@@ -186,28 +182,21 @@ def fingerprint_report(docs: DataFrame, radius: int = 3, every: int = 100) -> Da
         )
     )
     after = own.select(
-        F.col("doc_id").alias("_id"), F.col("_k").alias("_key"), F.col("fingerprint").alias("_after")
-    )
-    joined = own.join(
-        after, F.col("next_id").eqNullSafe(F.col("_id")) & (F.col("next_k") == F.col("_key"))
+        *[F.col(k).alias(f"next{k}") for k in key], F.col("fingerprint").alias("_after")
     )
+    joined = own.join(after, [f"next{k}" for k in key])
     counts = own.groupBy("fingerprint").agg(F.count("*").alias("_copies"))
-    asked = own.filter(F.col("doc_id") % every == 0)
+    asked = own.filter((F.col("_id") % every == 0) & ~F.col("_none"))
     close = (
         within_radius(asked, counts, radius)
         .join(counts.withColumnRenamed("fingerprint", "match"), "match")
         .groupBy(F.col("query").alias("fingerprint"))
         .agg(F.sum("_copies").alias("n_within"))
     )
-    found = asked.join(close, "fingerprint").select(
-        F.col("doc_id").alias("_q"), F.col("_k").alias("_qk"), "n_within"
-    )
-    joined = joined.join(
-        found, (F.col("doc_id") == F.col("_q")) & (F.col("_k") == F.col("_qk")), "left"
-    )
+    found = asked.join(close, "fingerprint").select(*key, "n_within")
     like = lambda other: 1 - distance(F.col("fingerprint"), F.col(other)) / BITS
-    return joined.select(
-        "doc_id",
+    return joined.join(found, key, "left").select(
+        F.when(~F.col("_none"), F.col("_id")).alias("doc_id"),
         F.col("n").alias("n_chars"),
         F.col("sha").alias("edited_sha256"),
         "fingerprint",
