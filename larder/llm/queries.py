@@ -4,7 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import decontaminate, fingerprints, near, packing, shards, substrings
+from larder.llm import (
+    compression,
+    decontaminate,
+    fingerprints,
+    near,
+    packing,
+    pii,
+    quality,
+    shards,
+    substrings,
+    toxicity,
+)
 from larder.llm.common import documents, ready
 
 
@@ -39,6 +50,27 @@ def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_components(documents(spark, sf_dir))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality.score_quality(documents(spark, sf_dir), labels)
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.score_toxicity(documents(spark, sf_dir), labels)
+
+
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    return compression.score_texts(documents(spark, sf_dir))
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(documents(spark, sf_dir))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     ready(spark)
     return packing.pack(documents(spark, sf_dir), word_bpe())
@@ -50,6 +82,10 @@ QUERIES = {
     "op3_decontaminate": op3_decontaminate,
     "op4_shards": op4_shards,
     "op5_simhash_dedup": op5_simhash_dedup,
+    "op6_quality": op6_quality,
+    "op7_toxicity": op7_toxicity,
+    "op8_lm_scoring": op8_lm_scoring,
+    "op9_pii": op9_pii,
     "op10_packing": op10_packing,
 }
 

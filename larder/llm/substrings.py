@@ -36,7 +36,7 @@ from larder.sources.workspace import staged
 
 WINDOW = 50
 PREFIX = 8
-SUBTREE = 20_000  # different suffixes that one subtree may hold
+SUBTREE = 1_000  # different suffixes that one subtree may hold
 
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 
