@@ -35,7 +35,9 @@ from larder.sources.workspace import staged
 DEPTH = 24  # bytes of a word that one context may have
 CUT = 3  # leading bytes by which the trie is divided among tasks
 CLASSES = 12  # of texts, with a trie each
-HEAD = 300_000  # frequent words that every task knows, at most
+COUNTED = 400_000  # different words that a task counts before it passes them on
+SLICE = 1_000  # texts whose rare words are held at a time
+HEAD = 200_000  # frequent words that every task knows, at most
 END = b"\n"  # no word holds it
 CLOSE = 32
 SYMBOLS = 256
@@ -46,6 +48,12 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 7 == 2, F.lit(False))
 
 
+def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE):
+            yield batch.slice(at, SLICE)
+
+
 def texts_of(column: pa.Array) -> list[bytes]:
     return [
         t.lower() for t in pc.cast(pc.fill_null(column, ""), pa.large_binary()).to_pylist()
@@ -132,21 +140,28 @@ def tokens(column: pa.Array, centres: np.ndarray) -> Iterator[tuple[int, list[by
 def count_words(docs: DataFrame, centres: np.ndarray) -> DataFrame:
     """word, c: its count in training texts, 0 for words of held-out texts only."""
 
-    def count(batch: pa.RecordBatch) -> pa.RecordBatch:
-        train, other = Counter(), set()
-        texts = tokens(batch.column("text"), centres)
-        for out, (_, words) in zip(batch.column("held_out").to_pylist(), texts, strict=True):
-            if out:
-                other.update(words)
-            else:
-                train.update(words)
+    def told(train: Counter, other: set[bytes]) -> pa.RecordBatch:
         names = [*train, *(w for w in other if w not in train)]
         return pa.RecordBatch.from_arrays(
             [pa.array(names, pa.binary()), pa.array([train.get(w, 0) for w in names], pa.int64())],
             ["word", "c"],
         )
 
-    rows = by_batch(docs.select("held_out", "text"), count, "word binary, c long")
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        train, other = Counter(), set()
+        for batch in sliced(batches):
+            texts = tokens(batch.column("text"), centres)
+            for out, (_, words) in zip(batch.column("held_out").to_pylist(), texts, strict=True):
+                if out:
+                    other.update(words)
+                else:
+                    train.update(words)
+            if len(train) + len(other) > COUNTED:
+                yield told(train, other)
+                train, other = Counter(), set()
+        yield told(train, other)
+
+    rows = docs.select("held_out", "text").mapInArrow(count, "word binary, c long")
     return rows.groupBy("word").agg(F.sum("c").alias("c"))
 
 
@@ -390,20 +405,20 @@ def score_texts(docs: DataFrame, head: int = HEAD, classes: int = CLASSES) -> Da
     frequent = {}
     if table is not None:
         words = table.column("word").to_pylist()
-        frequent = dict(zip(words, zip(table.column("c").to_pylist(), table.column("lp").to_pylist(), strict=True), strict=True))
+        own = [log10(c + 1) for c in table.column("c").to_pylist()]
+        frequent = dict(zip(words, zip(own, table.column("lp").to_pylist(), strict=True), strict=True))
     sent = docs.sparkSession.sparkContext.broadcast(frequent)  # ``head`` words at most
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = {w: (log10(c + 1), lp) for w, (c, lp) in sent.value.items()}
+        get = sent.value.get
         row = TaskContext.get().partitionId() << 33
-        for batch in batches:
+        for batch in sliced(batches):
             sums: list[tuple] = []
             rest: list[tuple] = []
             ids, out = batch.column("doc_id").to_pylist(), batch.column("held_out").to_pylist()
             for doc, held, (k, words) in zip(ids, out, tokens(batch.column("text"), centres), strict=True):
                 base, lp = 0.0, named[k]
                 others = []
-                get = known.get
                 for w in words:
                     found = get(w)
                     if found is None:
