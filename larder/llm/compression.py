@@ -37,7 +37,7 @@ CUT = 3  # leading bytes by which the trie is divided among tasks
 CLASSES = 12  # of texts, with a trie each
 COUNTED = 400_000  # different words that a task counts before it passes them on
 SLICE = 1_000  # texts whose rare words are held at a time
-HEAD = 200_000  # frequent words that every task knows, at most
+HEAD = 600_000  # frequent words that every task knows, at most
 END = b"\n"  # no word holds it
 CLOSE = 32
 SYMBOLS = 256
@@ -166,9 +166,10 @@ def count_words(docs: DataFrame, centres: np.ndarray) -> DataFrame:
 
 
 def count_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of (class, context, byte) for contexts of at most two bytes.
+    """Counts of (class, context, byte) for contexts of two bytes, one at a word's start.
 
-    The first byte tells these (0) from what follows the first two bytes of words (1).
+    Shorter contexts follow from these.  The first byte tells them (0) from what
+    follows the first two bytes of words (1).
     """
     seen: Counter = Counter()
     for batch in batches:
@@ -176,15 +177,12 @@ def count_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             if not c:
                 continue
             k, word = token[:1], token[1:]
-            if word == END:
-                seen[b"\x00" + k + b" " + END] += c
-                seen[b"\x00" + k + END] += c
-                continue
-            s = b" " + word + b" "
-            for i in range(1, len(s)):
-                for n in range(min(i, 2) + 1):
-                    seen[b"\x00" + k + s[i - n : i + 1]] += c
-            if len(word) >= 2:
+            s = b" " + word + (b"" if word == END else b" ")
+            mark = b"\x00" + k
+            seen[mark + s[:2]] += c
+            for i in range(len(s) - 2):
+                seen[mark + s[i : i + 3]] += c
+            if len(s) > 3:
                 seen[b"\x01" + k + s[1:4]] += c
     if seen:
         yield pa.RecordBatch.from_arrays(
@@ -224,7 +222,13 @@ class Contexts:
         self.start: dict[bytes, dict[int, int]] = defaultdict(dict)
         self.seen: dict[Kind, list[int]] = {}
         for what, n in rows:
-            (self.start if what[0] else self.short)[what[1:-1]][what[-1]] = n
+            k, context, byte = what[1:2], what[2:-1], what[-1]
+            if what[0]:
+                self.start[k + context][byte] = n
+                continue
+            for at in range(len(context) + 1):
+                counts = self.short[k + context[at:]]
+                counts[byte] = counts.get(byte, 0) + n
 
     def escape(self, depth: int, different: int, total: int) -> float:
         new, every = self.seen.get(kind(depth, different, total), (0, 0))
