@@ -14,12 +14,14 @@ from larder.sources.workspace import staged
 BITS = 128
 LONGEST_TERM = 31  # a term weighs its bytes, at most this
 
-# What tells documents apart: doc_id, or that there is none, and a hash of the text.
-KEY = [
-    F.coalesce(F.col("doc_id"), F.lit(0)).alias("_id"),
-    F.col("doc_id").isNull().alias("_none"),
-    F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("_k"),
-]
+
+def identity() -> list[Column]:
+    """What tells documents apart: doc_id, or that there is none, and a hash of the text."""
+    return [
+        F.coalesce(F.col("doc_id"), F.lit(0)).alias("_id"),
+        F.col("doc_id").isNull().alias("_none"),
+        F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("_k"),
+    ]
 
 
 def fingerprints(texts: DataFrame, *ids: str) -> DataFrame:
@@ -114,7 +116,7 @@ def edited_pairs(docs: DataFrame) -> DataFrame:
     text, edited.
     """
     texts = docs.select(
-        *KEY,
+        *identity(),
         F.coalesce("text", F.lit("")).alias("text"),
     )
     key = ["_id", "_none", "_k"]

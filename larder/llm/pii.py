@@ -34,7 +34,7 @@ MORE = {
 }
 
 # Cheap tests that a text must pass before a pattern is tried on it.
-NEEDS = {"email": "@|(?i)[\\[({]at[\\])}]", "ip": "[0-9]\\.[0-9]", "card": "[0-9]{3}", "phone": "[0-9][\\x20.-][0-9]|\\+[0-9]|\\)"}
+NEEDS = {"email": "@|(?i)[\\[({]at[\\])}]", "ip": "[0-9]\\.[0-9]", "card": "[0-9][\\x20.-]?[0-9]", "phone": "[0-9][\\x20.-][0-9]|\\+[0-9]|\\)"}
 
 HINT = r"(?i)(?:mail|contact|call|phone|tel|fax|mobile|card|visa|pay|ip|host|addr|server)[^a-z0-9]{0,4}$"
 FEATURES = ("kind", "digits", "luhn", "octets", "plus", "paren", "spaced", "glued_left", "glued_right", "hint")
@@ -86,7 +86,7 @@ def octets(value: Column) -> Column:
     parts = F.split(value, "\\.")
     return F.forall(
         parts,
-        lambda p: p.rlike("^0*+[0-9]{1,3}$")
+        lambda p: p.rlike("^0*[0-9]{1,3}$")
         & (F.right(F.concat(F.lit("000"), p), F.lit(3)).try_cast("int") <= 255),
     )
 
