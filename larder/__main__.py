@@ -27,6 +27,9 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("source", help="folder to read")
     parser.add_argument("target", help="folder to write")
     parser.add_argument("--report", help="JSON document of the report to export (doc_id, text)")
+    parser.add_argument(
+        "--multi-line", nargs="*", metavar="TABLE", help="ingest: tables with line breaks in values"
+    )
     options = parser.parse_args(arguments)
 
     spark = SparkSession.builder.appName(f"larder {options.stage}").getOrCreate()
@@ -35,6 +38,8 @@ def main(arguments: list[str] | None = None) -> None:
         done = export_dashboards(
             spark, options.source, options.target, report, require_report=report is not None
         )
+    elif options.stage == "ingest":
+        done = ingest_all(spark, options.source, options.target, options.multi_line)
     else:
         done = STAGES[options.stage](spark, options.source, options.target)
     for name, result in done.items():

@@ -125,7 +125,9 @@ def report_texts(spark: SparkSession, folder: str) -> DataFrame:
 
     The layout depends on the language: with both named sections (English),
     with text ahead of the first heading and a heading that is repeated
-    (German), without named sections (French), without any text yet (the rest).
+    (German), without named sections (French), with a heading that comes back after
+    another one (the rest).  Each of the rest also has a report that is not written
+    yet, under a negative id.
     """
     text, source = F.col("text"), F.col("source")
     lang = F.col("lang")
@@ -133,7 +135,12 @@ def report_texts(spark: SparkSession, folder: str) -> DataFrame:
     def layout(*parts: Column | str) -> Column:
         return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
 
-    return _table(spark, folder, "documents").select(
+    documents = _table(spark, folder, "documents")
+    rest = ~F.coalesce(lang, F.lit("")).isin("en", "de", "fr")
+    pending = documents.filter(rest).select(
+        (-1 - F.col("doc_id")).alias("doc_id"), F.lit(None).cast("string").alias("text")
+    )
+    written = documents.select(
         "doc_id",
         F.when(
             lang == "en",
@@ -157,5 +164,15 @@ def report_texts(spark: SparkSession, folder: str) -> DataFrame:
             ),
         )
         .when(lang == "fr", layout(text, "\n 12. ", source, "\n3) \n4 x\n"))
+        .otherwise(
+            layout(
+                "## Notes\nfirst\n## Executive Summary\r\n",
+                text,
+                "\n## Notes\n\n1. ",
+                source,
+                "\n",
+            )
+        )
         .alias("text"),
     )
+    return written.union(pending)

@@ -609,7 +609,13 @@ def report_assembled(spark: SparkSession, folder: str) -> DataFrame:
         "last_updated",
         "model",
         "executive_summary",
-        F.array_join(F.array_sort(F.map_keys("sections")), ",").alias("sections"),
+        F.array_join(
+            F.transform(
+                F.array_sort(F.map_entries("sections")),
+                lambda s: F.concat(s["key"], F.lit("="), s["value"]),
+            ),
+            "\x1e",
+        ).alias("sections"),
         F.array_join("recommendations", "\n").alias("recommendations"),
         "full_text",
     )

@@ -16,7 +16,7 @@ HEADING = "\n## "
 INTRODUCTION = "introduction"
 SUMMARY_SECTION = "executive_summary"
 ADVICE_SECTION = "key_business_recommendations"
-NUMBERED_ITEM = r"(?mdU)^[\s\x1C-\x1F]*\d+[.)][\s\x1C-\x1F]*(.+)$"
+NUMBERED_ITEM = r"(?mdU)^(?:[^\S\n]|[\x1C-\x1F])*+\d+[.)][\s\x1C-\x1F]*(.+)$"
 SUMMARY_LENGTH = 500
 PENDING_MODEL = "pending"
 PENDING_SUMMARY = "AI insights will be generated in the next pipeline task."
@@ -27,8 +27,9 @@ def with_sections(reports: DataFrame) -> DataFrame:
     """Add ``sections``: an array of (section, body) in text order.
 
     A section runs from its ``## `` line to the next one.  What precedes the
-    first is the introduction.  A heading with no line below it is left out,
-    and of sections with the same name the last one counts.
+    first is the introduction.  A heading with no line below it is left out.
+    Sections with the same name are one: at the place of the first, with the
+    body of the last.
     """
     text = F.col("text")
     # cut before every heading; the one added last only ends the text's final piece
@@ -50,8 +51,15 @@ def with_sections(reports: DataFrame) -> DataFrame:
     last = F.filter(
         by_name, lambda s, i: ~s["section"].eqNullSafe(F.get(by_name, i + 1)["section"])
     )
+    # likewise the first of its name; both arrays have the names in the same order
+    first = F.filter(
+        by_name,
+        lambda s, i: (i == 0) | ~s["section"].eqNullSafe(F.get(by_name, i - 1)["section"]),
+    )
     in_order = F.array_sort(
-        F.transform(last, lambda s: F.struct(s["at"].alias("at"), s["section"], s["body"]))
+        F.zip_with(
+            first, last, lambda a, b: F.struct(a["at"].alias("at"), b["section"], b["body"])
+        )
     )
     listed = F.transform(
         in_order, lambda s: F.struct(s["section"].alias("section"), s["body"].alias("body"))
@@ -114,7 +122,8 @@ def assemble_reports(reports: DataFrame, generated_at: str) -> DataFrame:
     )
     advice = recommendations(F.coalesce(_body_of(found, ADVICE_SECTION), text))
     no_text = F.array().cast("array<string>")
-    overview = ["kpi_overview"] if "kpi_overview" in reports.columns else []
+    unknown = F.create_map().cast("map<string,string>").alias("kpi_overview")
+    overview = "kpi_overview" if "kpi_overview" in reports.columns else unknown
     return with_sections(reports).select(
         "doc_id",
         F.when(here, stored("generated_at", generated_at))
@@ -127,5 +136,5 @@ def assemble_reports(reports: DataFrame, generated_at: str) -> DataFrame:
         .alias("sections"),
         F.when(here, advice).otherwise(no_text).alias("recommendations"),
         F.coalesce(text, F.lit("")).alias("full_text"),
-        *overview,
+        overview,
     )

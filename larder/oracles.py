@@ -131,8 +131,14 @@ _VIEWS = {
                 || '## Executive Summary' || chr(10) || chr(10) || '  ' || text || '  ' || chr(10)
             WHEN 'fr' THEN text || chr(10) || ' 12. ' || source || chr(10) || '3) ' || chr(10)
                 || '4 x' || chr(10)
+            ELSE '## Notes' || chr(10) || 'first' || chr(10) || '## Executive Summary' || chr(13)
+                || chr(10) || text || chr(10) || '## Notes' || chr(10) || chr(10) || '1. '
+                || source || chr(10)
             END AS text
-        FROM documents""",
+        FROM documents
+        UNION ALL
+        SELECT -1 - doc_id, lang, source, NULL FROM documents
+        WHERE coalesce(lang, '') NOT IN ('en', 'de', 'fr')""",
     "report_lines": """
         SELECT doc_id, line_no, line FROM (
             SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS line_no
@@ -155,10 +161,11 @@ _VIEWS = {
         HAVING count(*) FILTER (NOT is_heading) > 0""",
     "found_sections": """
         SELECT doc_id, section, body,
-               CAST(row_number() OVER (PARTITION BY doc_id ORDER BY section_at) - 1 AS INTEGER)
+               CAST(row_number() OVER (PARTITION BY doc_id ORDER BY first_at) - 1 AS INTEGER)
                    AS section_no
-        FROM (SELECT * FROM report_bodies QUALIFY section_at =
-                  max(section_at) OVER (PARTITION BY doc_id, section))""",
+        FROM (SELECT doc_id, section, min(section_at) AS first_at,
+                     arg_max(body, section_at) AS body
+              FROM report_bodies GROUP BY doc_id, section)""",
     "advice": """
         SELECT doc_id, CAST(item_at - 1 AS INTEGER) AS item_no, recommendation FROM (
             SELECT doc_id, unnest(items) AS recommendation, generate_subscripts(items, 1) AS item_at
@@ -648,7 +655,7 @@ _QUERIES = {
                    lambda x: x <> ''), chr(10)), '') AS recommendations,
                coalesce(reports.text, '') AS full_text
         FROM reports LEFT JOIN (
-            SELECT doc_id, string_agg(section, ',' ORDER BY section) AS sections,
+            SELECT doc_id, string_agg(section || '=' || body, chr(30) ORDER BY section) AS sections,
                    max(body) FILTER (section = 'executive_summary') AS summary,
                    max(body) FILTER (section = 'key_business_recommendations') AS advice_section
             FROM found_sections GROUP BY doc_id) AS s ON s.doc_id = reports.doc_id""",

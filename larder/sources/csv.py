@@ -75,7 +75,7 @@ def scan_csv(spark: SparkSession, path: str, spec: TableSpec, multi_line: bool |
     )
 
 
-def _whole_records(scan: DataFrame, spec: TableSpec, watch: Observation | str) -> DataFrame:
+def _whole_records(scan: DataFrame, spec: TableSpec, watch: Observation) -> DataFrame:
     """Watch every column, so that column pruning cannot hide a bad value.
 
     Spark parses only the columns a query asks for, and a value that is not
@@ -103,7 +103,7 @@ def read_csv(
     spark: SparkSession, path: str, spec: TableSpec, multi_line: bool | None = None
 ) -> ParsedCsv:
     scan = scan_csv(spark, path, spec, multi_line)
-    return _split(_whole_records(scan, spec, f"parsed_{spec.name}"), spec)
+    return _split(_whole_records(scan, spec, Observation()), spec)
 
 
 def ingest_csv(
@@ -125,6 +125,6 @@ def ingest_csv(
     valid.write.mode("overwrite").parquet(f"{bronze}/{spec.name}")
     malformed = parse.get["n_malformed"]
     if malformed:
-        rejected = _split(_whole_records(scan, spec, f"rejected_{spec.name}"), spec).malformed
+        rejected = _split(_whole_records(scan, spec, Observation()), spec).malformed
         write_table(rejected, f"{bronze}/{QUARANTINE}", spec.name)
     return IngestCount(parse.get["n_records"] - malformed, malformed)

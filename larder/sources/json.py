@@ -15,7 +15,8 @@ def one_row(spark: SparkSession) -> DataFrame:
 
 
 def to_document(fields: Column, indented: bool = False) -> Column:
-    return F.to_json(fields, {"pretty": "true"} if indented else {})
+    options = {"ignoreNullFields": "false"}
+    return F.to_json(fields, options | ({"pretty": "true"} if indented else {}))
 
 
 def write_document(df: DataFrame, path: str) -> None:

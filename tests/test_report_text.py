@@ -1,4 +1,5 @@
 import re
+import time
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -108,3 +109,19 @@ def test_assembled_rows(spark):
     assert three.executive_summary == report_text.PENDING_SUMMARY
     shown = documents.insight_document(table, "now", indented=False).collect()
     assert len(shown) == 3 and '"model":"pending"' in shown[2][0]
+
+
+def test_a_heading_that_comes_back_keeps_its_first_place(spark):
+    text = "## A\none\n## B\ntwo\n## A\nthree\n"
+    reports = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    rows = report_text.report_sections(reports).orderBy("section_no").collect()
+    assert [(r.section, r.body) for r in rows] == [("a", "three"), ("b", "two")]
+
+
+def test_many_blank_lines_take_no_square_of_time(spark):
+    text = "\n" * 200_000 + "1. last"
+    reports = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    started = time.perf_counter()
+    rows = report_text.report_recommendations(reports).collect()
+    assert [r.recommendation for r in rows] == ["last"]
+    assert time.perf_counter() - started < 20

@@ -123,3 +123,18 @@ def test_work_folders_lie_below_the_shared_folder(spark):
     assert first.startswith(shared) and first != second
     df = staged(spark.range(5))
     assert df.count() == 5 and shared in df.inputFiles()[0]
+
+
+def test_two_reads_of_one_table_in_a_plan(spark, lines_csv):
+    a, b = (csv.read_csv(spark, lines_csv, tables.PRIOR_LINES) for _ in range(2))
+    assert a.valid.union(b.valid).count() == 6
+    assert a.malformed.union(b.malformed).count() == 4
+
+
+def test_ingest_all_takes_line_breaks_where_told(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ingest, "RAW_TABLES", [tables.ORDERS])
+    header = ",".join(tables.ORDERS.columns)
+    (tmp_path / "orders.csv").write_text(f'{header}\n1,2,"pri\nor",1,2,3,\n')
+    apart = ingest.ingest_all(spark, str(tmp_path), str(tmp_path / "a"))
+    whole = ingest.ingest_all(spark, str(tmp_path), str(tmp_path / "b"), ["orders"])
+    assert (apart, whole) == ({"orders": 0}, {"orders": 1})
