@@ -40,9 +40,27 @@ def ratio(part: Column, whole: Column) -> Column:
 
 
 def rounded(value: Column, places: int) -> Column:
-    """Round half to even at ``places`` decimals."""
-    scale = float(10**places)
-    return F.rint(value * scale) / scale
+    """The nearest double with ``places`` decimals.
+
+    Decided by the exact value of the double, not by a scaled one: 2.675 is a little
+    less than its digits say and gives 2.67.  Exact halves go to the even digit.
+    """
+    x, scale = value.cast("double"), float(10**places)
+    scaled = x * scale
+    near = F.rint(scaled)
+    # the product's own rounding error, exactly: x in two halves of 26 bits
+    wide = x * float(2**27 + 1)
+    high = wide - (wide - x)
+    error = (high * scale - scaled) + (x - high) * scale
+    # it decides where the product looks like a half
+    off = scaled - near
+    settled = (
+        F.when((off == 0.5) & (error > 0), near + 1)
+        .when((off == -0.5) & (error < 0), near - 1)
+        .otherwise(near)
+    )
+    whole = F.abs(x) >= float(2**52)  # has no decimals to round
+    return F.when(whole, x).otherwise(settled / scale)
 
 
 def percent(part: Column, whole: Column, places: int = 2) -> Column:

@@ -36,16 +36,6 @@ def _row(one_row: DataFrame) -> Column:
     return one_row.select(F.struct(*one_row.columns)).scalar()
 
 
-def _buckets(baskets: DataFrame) -> Column:
-    """The histogram as one object with a field per bucket."""
-    histogram = reports.basket_histogram(baskets)
-    fields = [
-        F.max(F.when(F.col("bucket") == label, F.col("orders"))).alias(label)
-        for label, _, _ in reports.BASKET_BUCKETS
-    ]
-    return histogram.agg(F.struct(*fields)).scalar()
-
-
 def _document(spark: SparkSession, fields: dict[str, Column], indented: bool) -> DataFrame:
     columns = [value.alias(name) for name, value in fields.items()]
     return one_row(spark).select(to_document(F.struct(*columns), indented).alias("document"))
@@ -63,13 +53,13 @@ def kpi_summary(gold: Gold, indented: bool = False) -> DataFrame:
     def titled(title: str, field: str, rows: Column) -> Column:
         return F.struct(F.lit(title).alias("description"), rows.alias(field))
 
-    sizes = reports.basket_summary(baskets).select(
+    sizes = reports.basket_figures(baskets).select(
         "mean_basket_size",
         "median_basket_size",
         "min_basket_size",
         "max_basket_size",
         "std_basket_size",
-        _buckets(baskets).alias("distribution_by_size_bucket"),
+        F.col("buckets").alias("distribution_by_size_bucket"),
     )
     top_rates = _listed(reports.top_reorder(rates, n), *RATE_FIELDS)
     trends = reports.customer_trends(customers).select(
@@ -122,23 +112,22 @@ def dashboards(gold: Gold, last_updated: str, indented: bool = True) -> dict[str
     customers = gold["gold_customer_metrics"]
     stamp = F.lit(last_updated)
 
-    def distinct(df: DataFrame, column: str) -> Column:
-        return df.agg(F.count_distinct(column)).scalar()
+    def rows(df: DataFrame, column: str) -> Column:
+        return df.agg(F.count(column)).scalar()
 
     ranked = reports.department_rank(departments).withColumnRenamed("rank", "position")
     segments = reports.customer_segmentation(customers)
     segment_list = segments.agg(F.array_sort(F.collect_list(F.struct(*segments.columns))))
     frequency = reports.order_frequency(customers)
     frequency_list = frequency.agg(F.array_sort(F.collect_list(F.struct(*frequency.columns))))
-    basket_row = reports.basket_summary(baskets).select(
-        "total_orders",
-        "total_line_items",
-        "mean_basket_size",
-        "median_basket_size",
-        "min_basket_size",
-        "max_basket_size",
-        "std_basket_size",
+    basket_row = reports.basket_figures(baskets)
+    sizes = [name for name in basket_row.columns if name != "buckets"]
+    histogram = F.transform(
+        reports.bucket_list(), lambda b: F.struct(b["bucket"].alias("bucket"), b["orders"].alias("orders"))
     )
+    basket_row = basket_row.select(
+        F.struct(F.struct(*sizes).alias("summary"), histogram.alias("distribution"))
+    ).scalar()
     customer_row = reports.customer_summary(customers).select(
         "total_customers",
         "avg_orders_per_customer",
@@ -150,20 +139,20 @@ def dashboards(gold: Gold, last_updated: str, indented: bool = True) -> dict[str
     )
     documents = {
         "top_products.json": {
-            "total_products": distinct(products, "product_id"),
+            "total_products": rows(products, "product_id"),
             "products": _listed(reports.top_products(products), *PRODUCT_FIELDS),
         },
         "reorder_metrics.json": {
-            "total_products": distinct(rates, "product_id"),
+            "total_products": rows(rates, "product_id"),
             "products": _listed(reports.top_reorder(rates), *RATE_FIELDS),
         },
         "department_metrics.json": {
-            "total_departments": distinct(departments, "department"),
+            "total_departments": rows(departments, "department"),
             "departments": _listed(ranked, *DEPARTMENT_FIELDS),
         },
         "basket_metrics.json": {
-            "summary": _row(basket_row),
-            "distribution": _listed(reports.basket_histogram(baskets), "bucket", "orders"),
+            "summary": basket_row["summary"],
+            "distribution": basket_row["distribution"],
         },
         "customer_metrics.json": {
             "summary": _row(customer_row),

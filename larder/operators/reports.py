@@ -1,4 +1,8 @@
-"""Reporting tables over the gold tables: rankings, histograms, segments, summaries."""
+"""Reporting tables over the gold tables: rankings, histograms, segments, summaries.
+
+Gold tables have one row per product, department, order or customer, so these are
+counted as rows, without a shuffle of their ids.
+"""
 
 from __future__ import annotations
 
@@ -62,9 +66,9 @@ def top_n(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
     return _display(head.withColumn("position", F.row_number().over(Window.orderBy(*order))))
 
 
-def _n_distinct(df: DataFrame, column: str) -> Column:
-    """Exact number of distinct values, as a scalar subquery."""
-    return df.agg(F.count_distinct(column)).scalar()
+def _n_rows(df: DataFrame, column: str) -> Column:
+    """Number of rows with the column, which names each row, as a scalar subquery."""
+    return df.agg(F.count(column)).scalar()
 
 
 def top_products(products: DataFrame, n: int = TOP_PRODUCTS) -> DataFrame:
@@ -86,12 +90,12 @@ def top_customers(customers: DataFrame, n: int = TOP_CUSTOMERS) -> DataFrame:
 def product_ranking(products: DataFrame, n: int = TOP_PRODUCTS) -> DataFrame:
     """Top products next to the number of all products."""
     return top_products(products, n).withColumn(
-        "total_products", _n_distinct(products, "product_id")
+        "total_products", _n_rows(products, "product_id")
     )
 
 
 def reorder_ranking(rates: DataFrame, n: int = TOP_PRODUCTS) -> DataFrame:
-    return top_reorder(rates, n).withColumn("total_products", _n_distinct(rates, "product_id"))
+    return top_reorder(rates, n).withColumn("total_products", _n_rows(rates, "product_id"))
 
 
 def department_rank(departments: DataFrame) -> DataFrame:
@@ -103,7 +107,7 @@ def department_rank(departments: DataFrame) -> DataFrame:
 def department_ranking(departments: DataFrame) -> DataFrame:
     """Departments by lines sold, next to their number."""
     return departments.orderBy(F.desc("total_products_sold"), "department").withColumn(
-        "total_departments", _n_distinct(departments, "department")
+        "total_departments", _n_rows(departments, "department")
     )
 
 
@@ -123,44 +127,51 @@ def top_reorder_mean(rates: DataFrame, n: int = TOP_PRODUCTS) -> DataFrame:
     )
 
 
-def basket_histogram(baskets: DataFrame) -> DataFrame:
-    """Orders per size bucket, in bucket order, empty buckets included.
+def basket_figures(baskets: DataFrame) -> DataFrame:
+    """Size statistics and orders per size bucket (a struct), in one row from one pass.
 
-    All buckets are counted in one pass without grouping rows; sizes below the
-    first bucket count nowhere.
+    The median is exact: its buffer holds one entry per distinct basket size.
+    Empty buckets are included; sizes below the first bucket count nowhere.
     """
     size = F.col("basket_size")
-    counts = [
+    buckets = [
         F.count_if((size >= low) & (F.lit(True) if high is None else size < high)).alias(label)
         for label, low, high in BASKET_BUCKETS
     ]
-    rows = [
-        F.struct(
-            F.lit(at).alias("position"),
-            F.lit(label).alias("bucket"),
-            F.col(f"`{label}`").alias("orders"),
-        )
-        for at, (label, _, _) in enumerate(BASKET_BUCKETS, start=1)
-    ]
-    return baskets.agg(*counts).select(F.inline(F.array(*rows)))
-
-
-def basket_summary(baskets: DataFrame) -> DataFrame:
-    """Size statistics in one row.
-
-    The median is exact: its buffer holds one entry per distinct basket size.
-    The distinct count is a query of its own, because mixing it in would carry
-    that buffer through a grouping by order.
-    """
-    size = F.col("basket_size")
     return baskets.agg(
+        F.count("order_id").alias("total_orders"),
         F.sum(size).alias("total_line_items"),
         fn.rounded(F.avg(size), 2).alias("mean_basket_size"),
         fn.rounded(F.median(size), 2).alias("median_basket_size"),
         F.min(size).alias("min_basket_size"),
         F.max(size).alias("max_basket_size"),
         fn.rounded(F.stddev_samp(size), 2).alias("std_basket_size"),
-    ).withColumn("total_orders", _n_distinct(baskets, "order_id"))
+        F.struct(*buckets).alias("buckets"),
+    )
+
+
+def bucket_list() -> Column:
+    """The buckets of ``basket_figures`` as an array, in bucket order."""
+    return F.array(
+        *[
+            F.struct(
+                F.lit(at).alias("position"),
+                F.lit(label).alias("bucket"),
+                F.col("buckets")[label].alias("orders"),
+            )
+            for at, (label, _, _) in enumerate(BASKET_BUCKETS, start=1)
+        ]
+    )
+
+
+def basket_histogram(baskets: DataFrame) -> DataFrame:
+    """Orders per size bucket, in bucket order, empty buckets included."""
+    return basket_figures(baskets).select(F.inline(bucket_list()))
+
+
+def basket_summary(baskets: DataFrame) -> DataFrame:
+    """Size statistics in one row."""
+    return basket_figures(baskets).drop("buckets")
 
 
 def customer_segment(customers: DataFrame) -> DataFrame:
@@ -212,6 +223,7 @@ def _customer_means(customers: DataFrame, at_least: int, share_name: str) -> Dat
         return fn.rounded(F.avg(F.when(condition, 1.0).otherwise(0.0)) * 100.0, 2)
 
     return customers.agg(
+        F.count("user_id").alias("total_customers"),
         fn.rounded(F.avg(orders), 2).alias("avg_orders_per_customer"),
         fn.rounded(F.median(orders), 2).alias("median_orders_per_customer"),
         fn.rounded(F.avg("total_products"), 2).alias("avg_products_per_customer"),
@@ -222,14 +234,12 @@ def _customer_means(customers: DataFrame, at_least: int, share_name: str) -> Dat
 
 
 def customer_summary(customers: DataFrame) -> DataFrame:
-    return _customer_means(customers, POWER_ORDERS, "power_user_pct").withColumn(
-        "total_customers", _n_distinct(customers, "user_id")
-    )
+    return _customer_means(customers, POWER_ORDERS, "power_user_pct")
 
 
 def customer_trends(customers: DataFrame) -> DataFrame:
     means = _customer_means(customers, LOYAL_ORDERS, "customers_with_10plus_orders_pct")
-    return means.withColumnsRenamed(
+    return means.drop("total_customers").withColumnsRenamed(
         {
             "avg_basket_size": "avg_basket_size_per_customer",
             "single_order_customer_pct": "customers_with_single_order_pct",
@@ -241,11 +251,14 @@ def dataset_overview(
     products: DataFrame, departments: DataFrame, baskets: DataFrame, customers: DataFrame
 ) -> DataFrame:
     """How much there is of everything, in one row."""
-    return baskets.agg(F.sum("basket_size").alias("total_line_items")).select(
-        _n_distinct(products, "product_id").alias("total_unique_products"),
-        _n_distinct(departments, "department").alias("total_departments"),
-        _n_distinct(baskets, "order_id").alias("total_orders"),
-        _n_distinct(customers, "user_id").alias("total_customers"),
+    sizes = baskets.agg(
+        F.count("order_id").alias("total_orders"), F.sum("basket_size").alias("total_line_items")
+    )
+    return sizes.select(
+        _n_rows(products, "product_id").alias("total_unique_products"),
+        _n_rows(departments, "department").alias("total_departments"),
+        "total_orders",
+        _n_rows(customers, "user_id").alias("total_customers"),
         "total_line_items",
     )
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 # Views over the raw tables (see FIXTURES.md).
 _VIEWS = {
     "fx_orders": """
@@ -178,6 +180,10 @@ _VIEWS = {
 }
 
 
+# KPI views, which also exist over the tidied inputs, as tidy_...
+_KPI_VIEWS = ("products_kpi", "departments_kpi", "order_level", "customers_kpi")
+
+
 def _with(*wanted: str, query: str) -> str:
     """The query under the views it names, in the order they are defined above."""
     needed = set(wanted)
@@ -197,21 +203,39 @@ def _sql(query: str) -> str:
 
 
 def _round(expression: str, places: int) -> str:
-    scale = f"1e{places}"
-    return f"(round_even(CAST({expression} AS DOUBLE) * {scale}, 0) / {scale})"
+    return f"CAST(format('{{:.{places}f}}', CAST({expression} AS DOUBLE)) AS DOUBLE)"
 
 
 def _position(order: str) -> str:
     return f"CAST(row_number() OVER (ORDER BY {order}) AS INTEGER)"
 
 
-def _counts(tables: dict[str, str]) -> str:
+def _contents(tables: dict[str, tuple[str, str, str, str]]) -> str:
+    """Rows and value sums; a table comes with its whole, fractional and text columns."""
+
+    def total(terms: list[str]) -> str:
+        return f"CAST(coalesce(sum({' + '.join(terms) or '0'}), 0) AS BIGINT)"
+
     return " UNION ALL ".join(
-        f"SELECT '{name}' AS dataset, count(*) AS n_rows FROM {source}"
-        for name, source in tables.items()
+        f"""SELECT '{name}' AS dataset, count(*) AS n_rows,
+            {total([f'coalesce({c} % 1000003, 0)' for c in whole.split()]
+                   + [f'coalesce(CAST(floor({c} * 1000 + 0.5) AS BIGINT), 0)'
+                      for c in fractions.split()])} AS numbers,
+            {total([f'coalesce(strlen({c}), 0)' for c in texts.split()])} AS letters
+            FROM {source}"""
+        for name, (source, whole, fractions, texts) in tables.items()
     )
 
 
+_ORDER_PARTS = (
+    "order_id user_id order_number order_dow order_hour_of_day",
+    "days_since_prior_order",
+    "eval_set",
+)
+_PRODUCT_PARTS = ("product_id aisle_id department_id", "", "product_name")
+_LINE_PARTS = ("order_id product_id add_to_cart_order reordered", "", "")
+_NAME_PARTS = {name: (f"{name}_id", "", name) for name in ("aisle", "department")}
+
 _BY_ORDERS = "total_orders DESC, product_id"
 _BY_RATE = "reorder_rate DESC, product_id"
 _BY_SOLD = "total_products_sold DESC, department"
@@ -406,6 +430,17 @@ _SIZES = f"""
     {_round('stddev_samp(basket_size)', 2)} AS std_basket_size"""
 
 
+_SEGMENTATION = f"""
+    SELECT {_SEGMENT} AS segment, count(*) AS customers,
+           {_round('count(*) * 100.0 / (SELECT count(*) FROM customers_kpi)', 2)} AS percentage,
+           {_round('avg(avg_basket_size)', 2)} AS avg_basket_size,
+           {_round('avg(total_products)', 2)} AS avg_products
+    FROM customers_kpi GROUP BY 1"""
+_FREQUENCY = """
+    SELECT total_orders AS orders, count(*) AS customers FROM customers_kpi
+    GROUP BY total_orders ORDER BY total_orders LIMIT 15"""
+
+
 def _list(select: str, *fields: str) -> str:
     packed = ", ".join(f"'{f}': {f}" for f in fields)
     return f"(SELECT list({{{packed}}} ORDER BY position) FROM ({select}))"
@@ -458,6 +493,64 @@ def _summary_document() -> str:
         }}) AS VARCHAR) AS document"""
 
 
+def _documents() -> str:
+    """The six dashboard documents, from the tidied inputs, without a report."""
+    product = ("product_id", "product_name", "total_orders", "total_reorders", "reorder_rate")
+    rate = ("product_id", "product_name", "reorder_rate")
+    customer = ("user_id", "total_orders", "total_products", "avg_basket_size")
+
+    def packed(names) -> str:
+        return ", ".join(f"'{n}': {n}" for n in names)
+
+    sizes = ("total_orders", "total_line_items", "mean_basket_size", "median_basket_size",
+             "min_basket_size", "max_basket_size", "std_basket_size")
+    means = ("total_customers", "avg_orders_per_customer", "median_orders_per_customer",
+             "avg_products_per_customer", "avg_basket_size", "single_order_customer_pct",
+             "power_user_pct")
+    segment = ("segment", "customers", "percentage", "avg_basket_size", "avg_products")
+    buckets = ", ".join(
+        f"{{'bucket': '{b}', 'orders': count(*) FILTER ({test})}}" for b, test in _BUCKETS
+    )
+    fields = {
+        "top_products.json": f"""'total_products': (SELECT count(*) FROM products_kpi),
+            'products': {_list(_TOP_PRODUCTS % 500, *product)}""",
+        "reorder_metrics.json": f"""'total_products': (SELECT count(*) FROM products_kpi),
+            'products': {_list(_TOP_RATES % 500, *rate)}""",
+        "department_metrics.json": f"""'total_departments': (SELECT count(*) FROM departments_kpi),
+            'departments': {_list(_TOP_DEPARTMENTS % 1000000, "department",
+                                  "total_products_sold", "unique_customers")}""",
+        "basket_metrics.json": f"""'summary': (SELECT {{{packed(sizes)}}} FROM (
+                SELECT count(DISTINCT order_id) AS total_orders,
+                       CAST(sum(basket_size) AS BIGINT) AS total_line_items, {_SIZES}
+                FROM order_level)),
+            'distribution': (SELECT [{buckets}] FROM order_level)""",
+        "customer_metrics.json": f"""'summary': (SELECT {{{packed(means)}}} FROM (
+                SELECT count(DISTINCT user_id) AS total_customers,
+                       {_means({}, 21, 'power_user_pct')} FROM customers_kpi)),
+            'segmentation': (SELECT list({{{packed(segment)}}} ORDER BY segment)
+                             FROM ({_SEGMENTATION})),
+            'order_frequency': (SELECT list({{'orders': orders, 'customers': customers}}
+                                            ORDER BY orders) FROM ({_FREQUENCY})),
+            'top_customers': {_list(_TOP_CUSTOMERS % 50, *customer)}""",
+    }
+    stamp = "2024-01-01T00:00:00+00:00"
+    rows = [
+        f"""SELECT '{name}' AS name,
+            CAST(to_json({{'last_updated': '{stamp}', {content}}}) AS VARCHAR) AS document"""
+        for name, content in fields.items()
+    ]
+    pending = (
+        f'{{"last_updated":"{stamp}","model":"pending","executive_summary":'
+        '"AI insights will be generated in the next pipeline task.","sections":{},'
+        '"recommendations":[],"full_text":"","kpi_overview":{}}'
+    )
+    rows.append(f"SELECT 'ai_insights.json', '{pending}'")
+    query = " UNION ALL ".join(rows)
+    for view in _KPI_VIEWS:
+        query = re.sub(rf"\b{view}\b", f"tidy_{view}", query)
+    return query
+
+
 def _search(label: str, condition: str, order: str) -> str:
     return f"""(SELECT {_shown('product_id', 'product_name', 'total_orders', 'total_reorders',
         'reorder_rate')}, {_position(order)} AS position, count(*) OVER () AS matches,
@@ -475,54 +568,57 @@ _QUERIES = {
                         ELSE CAST(add_to_cart_order AS VARCHAR) END,
                    reordered) AS record
         FROM fx_prior""",
-    "ingest_counts": _counts(
+    "ingest_counts": _contents(
         {
-            "orders": "fx_orders",
-            "products": "fx_products",
-            "departments": "fx_departments",
-            "aisles": "fx_aisles",
-            "order_products__prior": "fx_prior WHERE add_to_cart_order NOT IN (2, 3)",
-            "order_products__train": "fx_train",
-            "order_products__prior__malformed": "fx_prior WHERE add_to_cart_order IN (2, 3)",
+            "orders": ("fx_orders", *_ORDER_PARTS),
+            "products": ("fx_products", *_PRODUCT_PARTS),
+            "departments": ("fx_departments", *_NAME_PARTS["department"]),
+            "aisles": ("fx_aisles", *_NAME_PARTS["aisle"]),
+            "order_products__prior": (
+                "fx_prior WHERE add_to_cart_order NOT IN (2, 3)", *_LINE_PARTS),
+            "order_products__train": ("fx_train", *_LINE_PARTS),
+            "order_products__prior__malformed": (
+                """(SELECT concat_ws(',', order_id,
+                       CASE WHEN add_to_cart_order = 2 THEN 'n/a' ELSE product_id::VARCHAR END,
+                       CASE WHEN add_to_cart_order = 3 THEN '3.5' ELSE add_to_cart_order::VARCHAR END,
+                       reordered) AS record
+                    FROM fx_prior WHERE add_to_cart_order IN (2, 3))""", "", "", "record"),
         }
     ),
     "bronze_roundtrip": "SELECT product_id, product_name FROM fx_products",
     "fact_projection": """
         SELECT order_id, user_id, product_id, product_name, department, reordered FROM fact""",
     "silver_checkpoint": "SELECT * FROM lines",
-    "silver_tables": """
-        SELECT 'clean_orders' AS dataset, count(*) AS n_rows FROM tidy_orders UNION ALL
-        SELECT 'clean_products', count(*) FROM tidy_products UNION ALL
-        SELECT 'clean_departments', count(*) FROM fx_departments UNION ALL
-        SELECT 'clean_aisles', count(*) FROM fx_aisles UNION ALL
-        SELECT 'clean_order_products', count(*) FROM tidy_merged UNION ALL
-        SELECT 'retail_transactions', count(*) FROM tidy_merged""",
-    "gold_roundtrip": _counts(
+    "silver_tables": _contents(
+        {
+            "clean_orders": ("tidy_orders", *_ORDER_PARTS),
+            "clean_products": ("tidy_products", *_PRODUCT_PARTS),
+            "clean_departments": ("fx_departments", *_NAME_PARTS["department"]),
+            "clean_aisles": ("fx_aisles", *_NAME_PARTS["aisle"]),
+            "clean_order_products": ("tidy_merged", *_LINE_PARTS),
+            "retail_transactions": (
+                "tidy_whole",
+                "order_id user_id product_id add_to_cart_order reordered order_dow"
+                " order_hour_of_day",
+                "",
+                "product_name aisle department",
+            ),
+        }
+    ),
+    "gold_roundtrip": _contents(
         {
-            "gold_top_products": "products_kpi",
-            "gold_department_metrics": "departments_kpi",
-            "gold_customer_metrics": "customers_kpi",
-            "gold_basket_metrics": "order_level",
-            "gold_reorder_metrics": "products_kpi",
+            "gold_top_products": (
+                "products_kpi", "product_id total_orders total_reorders", "reorder_rate",
+                "product_name"),
+            "gold_department_metrics": (
+                "departments_kpi", "total_products_sold unique_customers", "", "department"),
+            "gold_customer_metrics": (
+                "customers_kpi", "user_id total_orders total_products", "avg_basket_size", ""),
+            "gold_basket_metrics": ("order_level", "order_id basket_size", "", ""),
+            "gold_reorder_metrics": ("products_kpi", "product_id", "reorder_rate", "product_name"),
         }
     ),
-    "dashboard_export": """
-        SELECT figure, CAST(value AS DOUBLE) AS value FROM (
-            SELECT 'top_products.json: total_products' AS figure,
-                   count(DISTINCT product_id) AS value FROM tidy_merged UNION ALL
-            SELECT 'reorder_metrics.json: total_products', count(DISTINCT product_id)
-                FROM tidy_merged UNION ALL
-            SELECT 'department_metrics.json: total_departments', count(DISTINCT department_id)
-                FROM tidy_merged JOIN tidy_products USING (product_id) UNION ALL
-            SELECT 'basket_metrics.json: summary.total_line_items', count(*)
-                FROM tidy_merged UNION ALL
-            SELECT 'basket_metrics.json: summary.total_orders', count(DISTINCT order_id)
-                FROM tidy_merged UNION ALL
-            SELECT 'customer_metrics.json: summary.total_customers', count(DISTINCT user_id)
-                FROM tidy_merged JOIN tidy_orders USING (order_id)) UNION ALL
-        SELECT 'customer_metrics.json: summary.avg_orders_per_customer', """
-    + _round("count(DISTINCT order_id) / count(DISTINCT user_id)", 2)
-    + " FROM tidy_merged JOIN tidy_orders USING (order_id)",
+    "dashboard_export": _documents(),
     "normalize_text": """
         SELECT doc_id, lower(trim(regexp_replace(text, '\\s+', ' ', 'g'))) AS text
         FROM documents""",
@@ -599,15 +695,8 @@ _QUERIES = {
                CAST(sum(basket_size) AS BIGINT) AS total_line_items, {_SIZES}
         FROM order_level""",
     "customer_segment": f"SELECT user_id, {_SEGMENT} AS segment FROM customers_kpi",
-    "customer_segmentation": f"""
-        SELECT {_SEGMENT} AS segment, count(*) AS customers,
-               {_round('count(*) * 100.0 / (SELECT count(*) FROM customers_kpi)', 2)} AS percentage,
-               {_round('avg(avg_basket_size)', 2)} AS avg_basket_size,
-               {_round('avg(total_products)', 2)} AS avg_products
-        FROM customers_kpi GROUP BY 1""",
-    "order_frequency": """
-        SELECT total_orders AS orders, count(*) AS customers FROM customers_kpi
-        GROUP BY total_orders ORDER BY total_orders LIMIT 15""",
+    "customer_segmentation": _SEGMENTATION,
+    "order_frequency": _FREQUENCY,
     "top_customers_n": _TOP_CUSTOMERS % 50,
     "customer_summary": f"""
         SELECT count(DISTINCT user_id) AS total_customers, {_means({}, 21, 'power_user_pct')}
@@ -668,4 +757,17 @@ _VIEWS["tidy_merged"] = """
       AND product_id IN (SELECT product_id FROM tidy_products)
     GROUP BY order_id, product_id, add_to_cart_order"""
 
+_VIEWS["tidy_whole"] = """
+    SELECT order_id, user_id, product_id, product_name, lower(aisle) AS aisle,
+           lower(department) AS department, add_to_cart_order, reordered, order_dow,
+           order_hour_of_day
+    FROM tidy_merged JOIN tidy_orders USING (order_id) JOIN tidy_products USING (product_id)
+    LEFT JOIN fx_aisles USING (aisle_id) LEFT JOIN fx_departments USING (department_id)"""
+for _view in _KPI_VIEWS:
+    _VIEWS[f"tidy_{_view}"] = re.sub(
+        r"\b(fact|order_level)\b",
+        lambda m: "tidy_whole" if m[0] == "fact" else "tidy_order_level",
+        _VIEWS[_view],
+    )
+
 ORACLES = {name: _sql(query) for name, query in _QUERIES.items()}

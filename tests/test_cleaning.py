@@ -160,6 +160,41 @@ def test_union_and_keys(spark, lines):
     assert keys_only.count() == 3
 
 
+def test_rounding_is_that_of_the_exact_value(spark):
+    values = [2.675, 1.005, 0.125, 0.375, -2.675, -0.001, 1234567.125, 0.00005, 1e17, 1e308, 0.0]
+    values += [sign * (n + 0.5) / 10**p for n in range(1500) for p in (2, 4) for sign in (1, -1)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for places in (2, 4):
+        found = [r[0] for r in df.select(rounded(F.col("v"), places)).collect()]
+        assert found == [round(v, places) for v in values]
+    odd = spark.sql("SELECT CAST('NaN' AS DOUBLE) AS a, CAST('-Infinity' AS DOUBLE) AS b, CAST(NULL AS DOUBLE) AS c")
+    a, b, c = odd.select(*[rounded(F.col(n), 2) for n in "abc"]).first()
+    assert a != a and b == float("-inf") and c is None
+
+
+def test_broadcast_is_measured_with_its_names(spark):
+    """Few products, but with an aisle name too long to be sent with each."""
+    products = spark.range(200).selectExpr(
+        "id AS product_id", "'p' AS product_name", "1L AS aisle_id", "1L AS department_id"
+    )
+    departments = spark.sql("SELECT 1L AS department_id, 'd' AS department")
+    lines = spark.range(50).selectExpr(
+        "id AS order_id", "id AS product_id", "1 AS add_to_cart_order", "0 AS reordered"
+    )
+    orders = spark.range(50).selectExpr(
+        "id AS order_id", "id AS user_id", "1 AS order_dow", "1 AS order_hour_of_day"
+    )
+    for width, sent in ((10, True), (200_000, False)):
+        aisles = spark.range(1).select(
+            F.lit(1).cast("long").alias("aisle_id"), F.repeat(F.lit("x"), width).alias("aisle")
+        )
+        joined = star.retail_transactions(lines, orders, products, aisles, departments)
+        plan = joined._jdf.queryExecution().optimizedPlan().toString()
+        hinted = "rightHint=(strategy=broadcast)" in plan
+        assert hinted == sent
+        assert joined.count() == 50
+
+
 def test_expressions(spark):
     row = spark.range(1).select(
         collapse_spaces(F.lit("\tfoo \n bar  ")).alias("a"),
