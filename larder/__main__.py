@@ -3,6 +3,7 @@
 ingest   raw CSV folder      -> bronze folder
 silver   bronze folder       -> silver folder
 gold     silver folder       -> gold folder
+summary  gold folder         -> folder of the KPI summary
 export   gold folder         -> dashboard folder
 """
 
@@ -12,13 +13,17 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from larder.plans.export import export_dashboards
+from larder.plans.export import export_dashboards, export_summary, stored_report
 from larder.plans.gold import build_gold
 from larder.plans.ingest import ingest_all
 from larder.plans.silver import build_silver
-from larder.sources.json import read_document
 
-STAGES = {"ingest": ingest_all, "silver": build_silver, "gold": build_gold}
+STAGES = {
+    "ingest": ingest_all,
+    "silver": build_silver,
+    "gold": build_gold,
+    "summary": export_summary,
+}
 
 
 def main(arguments: list[str] | None = None) -> None:
@@ -26,7 +31,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("stage", choices=[*STAGES, "export"])
     parser.add_argument("source", help="folder to read")
     parser.add_argument("target", help="folder to write")
-    parser.add_argument("--report", help="JSON document of the report to export (doc_id, text)")
+    parser.add_argument("--report", help="JSON document of the report to export")
     parser.add_argument(
         "--multi-line", nargs="*", metavar="TABLE", help="ingest: tables with line breaks in values"
     )
@@ -34,7 +39,7 @@ def main(arguments: list[str] | None = None) -> None:
 
     spark = SparkSession.builder.appName(f"larder {options.stage}").getOrCreate()
     if options.stage == "export":
-        report = read_document(spark, options.report) if options.report else None
+        report = stored_report(spark, options.report) if options.report else None
         done = export_dashboards(
             spark, options.source, options.target, report, require_report=report is not None
         )

@@ -10,8 +10,11 @@ from pyspark.sql import types as T
 
 from larder.sources.workspace import staged
 
-# A key with this many rows on the large side is split over several tasks.
+# A key with this many rows on the large side is split over several tasks, unless that
+# is less than the given part of a shuffle partition's share, so that at most about
+# HOT_KEYS keys for each shuffle partition are hot, however large the table is.
 HOT_ROWS = 1_000_000
+HOT_KEYS = 4
 
 # A lookup side within both limits is sent to every executor.
 BROADCAST_ROWS = 500_000
@@ -60,13 +63,19 @@ def hot_keys(df: DataFrame, *key: str, hot_rows: int | None = None) -> DataFrame
 
 
 def find_hot_keys(df: DataFrame, *key: str) -> DataFrame | None:
-    """The hot keys of ``df``, written down, or None (runs a small job).
+    """The hot keys of ``df``, written down, or None (runs one or two small jobs).
 
-    Written down, so that whoever uses them goes by the same list, whatever is
-    recomputed later.
+    Rows are counted first, which for a stored table reads file footers only; a
+    table smaller than one hot key is not looked at any further.  Written down, so
+    that whoever uses them goes by the same list, whatever is recomputed later.
     """
-    hot = hot_keys(df, *key)
-    return None if hot.isEmpty() else staged(hot)
+    rows = df.count()
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    limit = max(HOT_ROWS, rows // (HOT_KEYS * partitions))
+    if rows < 0.9 * limit:
+        return None
+    hot = staged(hot_keys(df, *key, hot_rows=limit))
+    return None if hot.isEmpty() else hot
 
 
 def spread_join(
@@ -83,8 +92,9 @@ def spread_join(
     key are divided by a hash of ``spread_by`` into as many shares as the key
     needs, and its single lookup row is repeated once per share.  Other keys
     have one share, so nothing else grows: all repeats together number about
-    twice ``rows / HOT_ROWS``.  Which keys are hot decides how rows travel,
-    never which match.  Without hot keys it is a plain join.
+    twice ``rows / HOT_ROWS``.  The hot keys are broadcast: ``find_hot_keys`` bounds
+    their number by that of shuffle partitions.  Which keys are hot decides how rows
+    travel, never which match.  Without hot keys it is a plain join.
 
     The share number stays in the result as ``_salt``: with it in their keys,
     later groupings can go on from the partitioning this join leaves behind.
@@ -114,7 +124,8 @@ def lookup_join(
     """Broadcast the lookup side if it measures small, else a spread join.
 
     ``measured`` is what to measure in place of ``lookup`` when that is costly
-    to compute and a larger plain scan bounds its size; ``counted`` likewise
+    to compute and a cheaper table with the same columns, no row fewer and no text
+    shorter, bounds its size; ``counted`` likewise
     where to look for hot keys in place of ``large``.
     """
     if fits_broadcast(lookup if measured is None else measured):

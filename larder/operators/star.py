@@ -76,17 +76,22 @@ def transactions_from_raw(
         cleaning.clean_aisles(aisles),
         cleaning.clean_departments(departments),
         counted=lines,
-        measured=products,
+        bounding=products,
     )
 
 
-def _with_products(lines, products, aisles, departments, counted, measured):
+def _with_products(lines, products, aisles, departments, counted, bounding):
+    """Lines with the names of their products, aisles and departments.
+
+    What would be broadcast is measured with its names: ``bounding`` has every row of
+    ``products`` and perhaps more, and gets them as ``products`` does.
+    """
     named = lookup_join(
         lines.drop(SALT),
         products_enriched(products, aisles, departments),
         "product_id",
         spread_by=["order_id", "add_to_cart_order"],
         counted=counted,
-        measured=measured,
+        measured=products_enriched(bounding, aisles, departments),
     )
     return named.select(*tables.TRANSACTION_COLUMNS)

@@ -12,6 +12,7 @@ from larder.operators import cleaning, quality, star
 from larder.plans.together import together
 from larder.sources.json import write_document
 from larder.sources.parquet import read_table, rewrite_table, write_table
+from larder.sources.workspace import scope
 from larder.tables import TableSpec
 
 
@@ -37,8 +38,13 @@ def build_silver(spark: SparkSession, bronze: str, silver: str) -> dict[str, int
 
     Every cleaned table is read back from its files, so nothing is cleaned
     twice and the joins see plain scans, which adaptive execution can split
-    where keys are skewed.
+    where keys are skewed.  Work folders are gone when it returns.
     """
+    with scope(spark):
+        return _build_silver(spark, bronze, silver)
+
+
+def _build_silver(spark: SparkSession, bronze: str, silver: str) -> dict[str, int]:
     inputs = {spec.name: read_table(spark, bronze, spec.name) for spec in tables.RAW_TABLES}
     merged = cleaning.merge_order_products(
         inputs[tables.PRIOR_LINES.name], inputs[tables.TRAIN_LINES.name]

@@ -4,12 +4,42 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 from larder import LarderError
 
 
+_scopes: list[list[str]] = []
+
+
+def file_system(spark: SparkSession, path: str):
+    """The file system of a path, and the path as it wants it."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Work folders named within the block, by any of its threads, go when it ends.
+
+    For stages that have written their results by then.  A stage's scope also takes
+    the folders of whatever else runs in this process at the same time, so stages of
+    one process run one after the other.
+    """
+    named: list[str] = []
+    _scopes.append(named)
+    try:
+        yield
+    finally:
+        _scopes.remove(named)
+        for path in named:
+            files, at = file_system(spark, path)
+            files.delete(at, True)
+
+
 def work_dir(spark: SparkSession) -> str:
     """A fresh folder name below ``spark.checkpoint.dir``.
 
@@ -21,7 +51,10 @@ def work_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise LarderError("set spark.checkpoint.dir to a folder all executors share")
         shared = tempfile.mkdtemp(prefix="larder-")
-    return f"{shared.rstrip('/')}/larder-{uuid.uuid4().hex}"
+    path = f"{shared.rstrip('/')}/larder-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
 
 
 def staged(df: DataFrame, folder: str | None = None) -> DataFrame:

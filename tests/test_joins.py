@@ -48,6 +48,19 @@ def test_spread_join_equals_a_plain_join(skewed, how, hot_rows, monkeypatch):
     assert values(joined, *plain.columns) == values(plain, *plain.columns)
 
 
+def test_hot_keys_are_bounded_by_partitions(spark, monkeypatch):
+    """However many keys are large, few are hot, since the limit follows the table."""
+    monkeypatch.setattr(joins, "HOT_ROWS", 50)
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = spark.range(100_000).select((F.col("id") % 1000).alias("k"))  # 100 rows each
+    assert joins.hot_keys(rows, "k", hot_rows=50).count() == 1000
+    assert joins.find_hot_keys(rows, "k") is None
+    skewed = rows.union(spark.range(100_000).selectExpr("-1L AS k"))
+    hot = joins.find_hot_keys(skewed, "k")
+    assert [r.k for r in hot.collect()] == [-1]
+    assert hot.first()._shares <= joins.HOT_KEYS * partitions
+
+
 def test_a_hot_key_is_divided(skewed):
     rows, lookup = skewed
     joined = joins.spread_join(rows, lookup, "k", ["v"], joins.hot_keys(rows, "k", hot_rows=100))

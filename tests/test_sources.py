@@ -113,8 +113,14 @@ def test_documents_round_trip(spark, tmp_path):
     write_document(spark.sql("""SELECT '{"a": 1, "b": [2, 3]}' AS document"""), path)
     row = read_document(spark, path).first()
     assert (row.a, row.b) == (1, [2, 3])
-    text = "".join(p.read_text() for p in (tmp_path / "d.json").glob("part-*"))
-    assert json.loads(text) == {"a": 1, "b": [2, 3]}
+    assert json.loads((tmp_path / "d.json").read_text()) == {"a": 1, "b": [2, 3]}
+    # written again, and not at all unless there is one row
+    write_document(spark.sql("SELECT '{}' AS document"), path)
+    for n in (0, 2):
+        with pytest.raises(LarderError, match="one row"):
+            write_document(spark.range(n).selectExpr("'x' AS document"), path)
+    assert (tmp_path / "d.json").read_text() == "{}\n"
+    assert [p.name for p in tmp_path.iterdir() if not p.name.endswith(".crc")] == ["d.json"]
 
 
 def test_work_folders_lie_below_the_shared_folder(spark):

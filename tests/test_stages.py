@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as driver
 from larder import LarderError, adapters, catalog, tables
 from larder.__main__ import main
-from larder.operators import cleaning, quality, reports
+from larder.operators import cleaning, joins, quality, reports
 from larder.plans import export, gold, ingest, silver
 from larder.plans.together import together
 from larder.sources import parquet
@@ -107,10 +107,7 @@ def test_export(spark, stages, tmp_path):
     )
     paths = export.export_dashboards(spark, f"{root}/gold", str(tmp_path), report)
     assert len(paths) == 6
-    shown = {
-        name: json.loads("".join(p.read_text() for p in Path(path).glob("part-*")))
-        for name, path in paths.items()
-    }
+    shown = {name: json.loads(Path(path).read_text()) for name, path in paths.items()}
     assert shown["basket_metrics.json"]["summary"]["total_orders"] == 3
     insights = shown["ai_insights.json"]
     assert insights["sections"] == {"executive_summary": "fine"}
@@ -124,6 +121,46 @@ def test_export(spark, stages, tmp_path):
     assert read_document(spark, paths["ai_insights.json"]).first().model == "pending"
 
 
+def test_summary_and_stored_report(spark, stages, tmp_path):
+    """The summary, a report written from it, and the overview stored with the report."""
+    root = stages[0]
+    paths = export.export_summary(spark, f"{root}/gold", str(tmp_path))
+    summary = json.loads(Path(paths[export.SUMMARY]).read_text())
+    assert summary["dataset_overview"]["total_orders"] == 3
+    summary["dataset_overview"]["total_orders"] = 8  # as of an earlier day
+    stored = {
+        "generated_at": "2024-05-01T00:00:00",
+        "model": "m",
+        "executive_insights": "## Executive Summary\nfine\n1. do it",
+        "kpi_summary": summary,
+    }
+    (tmp_path / "report.json").write_text(json.dumps(stored))
+    out = tmp_path / "out"
+    main(["export", f"{root}/gold", str(out), "--report", str(tmp_path / "report.json")])
+    insights = json.loads((out / "ai_insights.json").read_text())
+    assert insights["last_updated"] == "2024-05-01T00:00:00" and insights["model"] == "m"
+    assert insights["executive_summary"] == "fine\n1. do it"
+    assert insights["recommendations"] == ["do it"]
+    assert insights["kpi_overview"] == summary["dataset_overview"]
+    overview = export.read_overview(spark, str(out)).first()
+    assert overview.total_transactions == 8 and overview.last_updated == insights["last_updated"]
+    # a report without any known field
+    (tmp_path / "bare.json").write_text('{"note": 1}')
+    report = export.stored_report(spark, str(tmp_path / "bare.json"))
+    assert report.first().asDict() == {"doc_id": 0, "text": ""}
+
+
+def test_silver_leaves_no_work_folders(spark, stages, tmp_path, monkeypatch):
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(shared.iterdir())
+    made = []
+    staged = joins.staged
+    monkeypatch.setattr(joins, "HOT_ROWS", 1)
+    monkeypatch.setattr(joins, "staged", lambda df: made.append(df) or staged(df))
+    silver.build_silver(spark, f"{stages[0]}/bronze", str(tmp_path))
+    assert made and set(shared.iterdir()) == before
+
+
 def test_command_line(spark, stages, tmp_path, capsys):
     root = stages[0]
     main(["gold", f"{root}/silver", str(tmp_path / "gold")])
