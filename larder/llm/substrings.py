@@ -250,7 +250,7 @@ def window_owners(docs: DataFrame, anchors: DataFrame, subtree_limit: int) -> Da
         "key", "span", F.array_repeat("first", F.col("size")).alias("firsts")
     )
     wanted = repeated.filter("n > 1").withColumn("heavy", F.col("n") > subtree_limit)
-    read = spans_of(docs, wanted)
+    read = staged(spans_of(docs, wanted))  # texts travel once for both ways
     light = (
         read.filter("NOT heavy")
         .repartition("key")
