@@ -12,6 +12,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from larder.sources.workspace import staged
 
@@ -76,7 +77,7 @@ def in_order(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def by_batch(
-    df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str
+    df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str | StructType
 ) -> DataFrame:
     """``work`` on each Arrow batch of ``df``."""
 

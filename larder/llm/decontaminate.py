@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.llm.common import WordHashes, by_batch, rolling
-from larder.sources.workspace import staged
 
 SHINGLE = 5
 CONTAINED = 0.8
@@ -171,11 +170,29 @@ def blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[int, b
         yield block
 
 
-def without_benchmark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def without_benchmark(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    shingle: int = SHINGLE,
+    contained: float = CONTAINED,
+    block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
     """The documents that contain no benchmark item.
 
-    All columns stay, and so do rows without a doc_id that contain no item.
+    Each row is judged by its own text, whatever its doc_id: rows without one, or with
+    one that a contaminated row has too, stay if they contain no item.  All columns
+    stay.  Blocks of items filter the rows one after another, without a shuffle.
     """
-    found = staged(contained_items(docs, benchmark).select("doc_id").distinct())
-    named = docs.join(found, docs["doc_id"].eqNullSafe(found["doc_id"]), "left_anti")
-    return named
+    for block in blocks(benchmark, block_bytes):
+        sent = docs.sparkSession.sparkContext.broadcast(block)  # block_bytes at most
+
+        def clean(batch: pa.RecordBatch, sent=sent) -> pa.RecordBatch:
+            index, hashes = _index(sent, shingle, contained)
+            keep = []
+            for text in pc.cast(pc.fill_null(batch.column("text"), ""), pa.large_binary()).to_pylist():
+                words = lower_words(text)
+                keep.append(next(index.within(words, hashes.of(words)), None) is None)
+            return batch.filter(pa.array(keep, pa.bool_()))
+
+        docs = by_batch(docs, clean, docs.schema)
+    return docs

@@ -389,3 +389,14 @@ def test_pii(spark, rows):
         assert (clean[i] is None) == (t is None)
         assert not t or not base_spans(t) or base_spans(clean[i]) == ""
         assert not t or base_spans(t) or "<" in clean[i] or clean[i] == t
+
+
+@pytest.mark.parametrize("block", [1 << 20, 60])
+def test_clean_rows_stay_beside_contaminated_ones(spark, block):
+    item = "alpha beta gamma delta epsilon zeta eta theta"
+    items = spark.createDataFrame([(1, item), (2, "one two three four five six seven"), (3, None)], "item_id long, text string")
+    rows = [(None, f"x {item} y"), (None, "clean"), (None, None), (7, item.upper()), (7, "clean too"), (8, "x one two three four five six seven")]
+    docs = frame(spark, rows)
+    kept = decontaminate.without_benchmark(docs, items, block_bytes=block)
+    assert kept.columns == docs.columns
+    assert sorted((r["doc_id"] or 0, r["text"] or "") for r in kept.collect()) == [(0, ""), (0, "clean"), (7, "clean too")]
