@@ -7,7 +7,8 @@ expressions.
 
 from __future__ import annotations
 
-from math import exp, log
+from itertools import groupby
+from math import exp, inf, log
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -213,20 +214,25 @@ def value_of(base: float, forest: list, features: tuple[int, ...]) -> float:
 
 
 def calibrated(base: float, forest: list, rows: list[Row], precision: float) -> list[float]:
-    """For each kind the lowest score above which at least ``precision`` is right."""
+    """For each kind the lowest score from which on at least ``precision`` is right.
+
+    Candidates of one score are accepted or refused together; a kind of which no score
+    is accepted has an infinite limit.
+    """
     limits = []
     for k in range(len(KINDS)):
         mine = sorted(
             ((value_of(base, forest, r[0]), r[1], r[2]) for r in rows if r[0][0] == k), reverse=True
         )
         good = bad = 0.0
-        limit = 0.0
-        for s, p, n in mine:
-            good, bad = good + p, bad + n
-            if good < precision * (good + bad):
+        limit = inf
+        for s, same in groupby(mine, key=lambda r: r[0]):
+            for _, p, n in same:
+                good, bad = good + p, bad + n
+            if s < 0 or good < precision * (good + bad):
                 break
-            limit = min(limit, s) if limit else s
-        limits.append(max(limit, 0.0))
+            limit = s
+        limits.append(limit)
     return limits
 
 
@@ -236,8 +242,8 @@ def find_personal_data(docs: DataFrame, precision: float = 0.98) -> DataFrame:
     Base spans are the matches of the base patterns that pass their checks; they all
     stay.  The generators propose more spans, which may overlap.  Boosted trees learn
     from all base matches of the corpus, those that passed against those that failed,
-    which formats and contexts are personal data; a proposal is taken if its score is
-    above the limit of its kind and it overlaps no base span and no proposal taken
+    which formats and contexts are personal data; a proposal is taken if its score
+    reaches the limit of its kind and it overlaps no base span and no proposal taken
     before it (from left to right).  Spans are arrays of (start, kind, end), sorted;
     kind is the place in KINDS, offsets are code points, the end is not included.
 
@@ -255,7 +261,7 @@ def find_personal_data(docs: DataFrame, precision: float = 0.98) -> DataFrame:
     def taken(span: Column) -> Column:
         x = described(span, text)
         limit = F.element_at(F.array(*[F.lit(v) for v in limits]), span["kind"] + 1)
-        return sum_of_trees(base, forest, x) > limit
+        return sum_of_trees(base, forest, x) >= limit - 1e-9
 
     apart = lambda a, b: (a["end"] <= b["start"]) | (b["end"] <= a["start"])
     place = lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"))
@@ -304,7 +310,7 @@ def _learnt(docs: DataFrame, text: Column, precision: float) -> tuple[float, lis
         for r in counted.limit(VECTORS).collect()  # there are no more different vectors
     ]
     if not rows:
-        return -1.0, [], [0.0] * len(KINDS)
+        return -1.0, [], [inf] * len(KINDS)
     rows.sort()
     base, forest = boosted(rows)
     return base, forest, calibrated(base, forest, rows, precision)

@@ -391,6 +391,31 @@ def test_pii(spark, rows):
         assert not t or base_spans(t) or "<" in clean[i] or clean[i] == t
 
 
+def test_pii_beyond_the_base_rules(spark):
+    texts = [f"Mail user{k}@mail{k}.example.com or pay by 4532015112830366 today" for k in range(40)]
+    texts += [f"card 123456789012345{k % 10} is none" for k in range(40) if k % 10 != 2]
+    more = [
+        ("write to john.doe [at] example [dot] com now", "write to <email> now"),
+        ("write to jane (at) mail.example.org now", "write to <email> now"),
+        ("pay by 4532.0151.1283.0366 now", "pay by <card> now"),
+        ("see 4532015112830366 4111111111111112 now", "see <card> 4111111111111112 now"),
+        ("see 4111111111111112 4532015112830366 now", "see 4111111111111112 <card> now"),
+    ]
+    every = list(enumerate([*texts, *(t for t, _ in more)]))
+    clean = {r["doc_id"]: r["text"] for r in pii.redact(frame(spark, every)).collect()}
+    assert [clean[len(texts) + k] for k in range(len(more))] == [t for _, t in more]
+
+
+def test_pii_limits():
+    row = lambda kind, luhn, good, bad: ((kind, 4, luhn, *[0] * 7), good, bad)
+    rows = [row(0, 0, 50.0, 0.0), row(2, 0, 0.0, 50.0), row(2, 1, 50.0, 0.0), row(3, 0, 20.0, 30.0)]
+    base, forest = pii.boosted(rows)
+    email, ip, card, phone = pii.calibrated(base, forest, rows, 0.98)
+    assert email == pii.value_of(base, forest, rows[0][0])
+    assert card == pii.value_of(base, forest, rows[2][0])
+    assert ip == phone == float("inf")
+
+
 @pytest.mark.parametrize("block", [1 << 20, 60])
 def test_clean_rows_stay_beside_contaminated_ones(spark, block):
     item = "alpha beta gamma delta epsilon zeta eta theta"
