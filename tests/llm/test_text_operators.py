@@ -18,6 +18,7 @@ from larder.llm import (
     pii,
     quality,
     shards,
+    similar,
     substrings,
     toxicity,
 )
@@ -425,3 +426,53 @@ def test_clean_rows_stay_beside_contaminated_ones(spark, block):
     kept = decontaminate.without_benchmark(docs, items, block_bytes=block)
     assert kept.columns == docs.columns
     assert sorted((r["doc_id"] or 0, r["text"] or "") for r in kept.collect()) == [(0, ""), (0, "clean"), (7, "clean too")]
+
+
+def test_similar_components(spark, rows):
+    rng = random.Random(8)
+    base = [words(rng, n).split() for n in (6, 30, 120, 400) for _ in range(12)]
+    edited = []
+    for w in base:
+        for edits in (0.01, 0.03, 0.08):
+            v = list(w)
+            for _ in range(max(1, round(edits * len(w)))):
+                v[rng.randrange(len(v))] = words(rng, 1)
+            edited.append(" ".join(v).upper())
+    more = [" ".join(w) for w in base] + edited + edited[:5]
+    every = [*awkward(rows), *((1000 + k, t) for k, t in enumerate(more))]
+    texts = [(i, (t or "").lower().split()) for i, t in every if i is not None]
+    sets = [{tuple(w[k : k + 5]) for k in range(max(len(w) - 4, 1))} for _, w in texts]
+    root = {i: i for i, _ in texts}
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    linked = 0
+    for x in range(len(texts)):
+        for y in range(x):
+            a, b = top(texts[x][0]), top(texts[y][0])
+            if len(sets[x] & sets[y]) >= 0.8 * len(sets[x] | sets[y]):
+                linked += sets[x] != sets[y]
+                root[max(a, b)] = min(a, b)
+    assert linked > 20
+    docs = frame(spark, every)
+    got = similar.similar_components(docs).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {i: top(i) for i in root}
+    assert len(got) == len(root)
+    kept = similar.one_of_each(docs)
+    assert kept.columns == docs.columns
+    ids = [str(r["doc_id"]) for r in kept.collect()]
+    assert sorted(ids) == sorted(str(i) for i, _ in every if i is None or top(i) == i)
+
+
+def test_pipeline_drops_edited_copies(spark):
+    import corpus_pipeline
+
+    rng = random.Random(3)
+    whole = words(rng, 100).split()
+    edited = [*whole[:20], "other", *whole[21:]]  # 91 of 101 shingles shared
+    docs = frame(spark, [(1, " ".join(whole)), (2, " ".join(edited)), (3, words(rng, 100))])
+    stage = dict(corpus_pipeline.STAGES)["near_dedup"]
+    assert sorted(r["doc_id"] for r in stage(spark, docs, "").collect()) == [1, 3]
