@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from larder.llm import (
+    alignment,
+    bands,
     compression,
     decontaminate,
     fingerprints,
     near,
     packing,
     pii,
+    prefix_trie,
     quality,
     shards,
     substrings,
@@ -76,6 +79,24 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), word_bpe())
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ready(spark)
+    files = map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.align(documents(spark, sf_dir), *files)
+
+
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    return bands.judge_rules(documents(spark, sf_dir))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    return prefix_trie.prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_substring_dedup": op2_substring_dedup,
@@ -87,8 +108,24 @@ QUERIES = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_pii": op9_pii,
     "op10_packing": op10_packing,
+    "op11_alignment": op11_alignment,
+    "op12_quality_rules": op12_quality_rules,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
+# the table of CRC-32 (a one-row relation), and the checksum of a list of bytes
+_CRC_TABLE = """
+        SELECT list_transform(range(256), lambda n: list_reduce(
+          list_prepend(n, range(8)), lambda x, k: xor(x >> 1, (x & 1) * 3988292384))) AS crc"""
+
+
+def _crc32(octets: str) -> str:
+    return (
+        f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {octets}), "
+        "lambda x, o: xor(x >> 8, crc[(xor(x, o) & 255) + 1])), 4294967295)"
+    )
+
+
 # words of a document, as a list
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^ \t\n\v\f\r]+')"
 
@@ -135,4 +172,46 @@ ORACLES = {
         )
         SELECT doc_id, item_id, n_shared, n_item, n_shared / n_item AS containment
         FROM m JOIN n USING (item_id) WHERE n_shared / n_item >= 0.8""",
+    "op13_prefix_trie": rf"""
+        WITH crcs AS ({_CRC_TABLE}),
+        t AS (
+          SELECT conv_id AS c, md5(concat(length(coalesce(role, '')), ':', role, text)) AS m,
+                 octet_length(encode(coalesce(text, ''))) AS octets,
+                 row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS i
+          FROM conversations WHERE conv_id IS NOT NULL
+        ),
+        n AS (SELECT c, count(*) AS n FROM t GROUP BY c),
+        h AS (
+          SELECT n.c, n.c - n.c % 5 AS base, coalesce(b.n, 0) AS n_base,
+                 {_crc32("list_transform(string_split(CAST(n.c AS VARCHAR), ''), lambda s: CAST(ascii(s) AS BIGINT))")}
+                 % 9 AS h
+          FROM n CROSS JOIN crcs LEFT JOIN n b ON b.c = n.c - n.c % 5
+        ),
+        turns AS (
+          SELECT h.c, i AS d, m, octets FROM h JOIN t ON t.c = base AND i <= h
+          UNION ALL
+          SELECT h.c, least(h, n_base) + i - h, m, octets FROM h JOIN t ON t.c = h.c AND i > h
+        ),
+        paths AS (
+          SELECT c, d, md5(string_agg(m, '') OVER (PARTITION BY c ORDER BY d)) AS k, octets FROM turns
+          UNION ALL SELECT c, 0, '', 0 FROM h
+        ),
+        linked AS (SELECT *, lag(k) OVER (PARTITION BY c ORDER BY d) AS p,
+                          d = max(d) OVER (PARTITION BY c) AS last FROM paths),
+        nodes AS (
+          SELECT k, min(c) AS c, min(d) AS d, min(p) AS p, count(*) AS n,
+                 (count(*) - 1) * min(octets) AS saved,
+                 string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE last) AS ends
+          FROM linked GROUP BY k
+        ),
+        kids AS (SELECT p AS k, count(*) AS kids FROM nodes GROUP BY p),
+        pairs AS (SELECT DISTINCT a.k, b.k AS under FROM paths a JOIN paths b ON a.c = b.c AND b.d >= a.d),
+        sums AS (
+          SELECT pairs.k, count(*) FILTER (WHERE kids IS NULL) AS leaves, sum(saved) AS saved
+          FROM pairs JOIN nodes u ON u.k = under LEFT JOIN kids ON kids.k = under GROUP BY pairs.k
+        )
+        SELECT v.c AS conv_id, CAST(v.d AS BIGINT) AS depth, up.c AS parent_conv_id, v.n AS n_convs,
+               CAST(coalesce(kids, 0) AS BIGINT) AS n_children, CAST(leaves AS BIGINT) AS n_leaves,
+               CAST(sums.saved AS BIGINT) AS saved_tokens, sha256(coalesce(v.ends, '')) AS ends_sha256
+        FROM nodes v JOIN sums USING (k) LEFT JOIN kids USING (k) LEFT JOIN nodes up ON up.k = v.p""",
 }
