@@ -111,8 +111,9 @@ def edited_pairs(docs: DataFrame) -> DataFrame:
 
     Edited: the last floor(n/2) code points give way to the first as many (or all)
     of the next document's text, by ascending doc_id, the first after the last.
-    Ids and lengths are put in order without the texts; then each text sends its
-    first part to the document before it.  Columns: the key, next_ and the key, n,
+    Rows of equal doc_id and text are one document, here already.  Ids and lengths are
+    put in order without the texts; then each text sends its first part to the
+    document before it.  Columns: the key, next_ and the key, n,
     text, edited.
     """
     texts = docs.select(
@@ -123,6 +124,8 @@ def edited_pairs(docs: DataFrame) -> DataFrame:
     ids = texts.select(*key, F.length("text").cast("long").alias("n")).distinct()
     order = in_order(ids.withColumn("_has", ~F.col("_none")), "_has", "_id", "_k")
     order = order.select(*key, "n", "pos")
+    if order.count() < docs.count():  # rows that repeat would meet in both joins
+        texts = texts.dropDuplicates(key)
     count = order.agg(F.count("*").alias("_count"))
     turned = order.crossJoin(F.broadcast(count)).withColumn(  # one row: the count
         "_next", F.pmod(F.col("pos") + 1, F.col("_count"))

@@ -40,7 +40,9 @@ class WordIds(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
+        self.tokenizer.encode_special_tokens = True  # words hold none of their strings
+        self.unaltered = Tokenizer.from_file(path)
+        self.special = [t.content.encode() for t in self.unaltered.get_added_tokens_decoder().values()]
         self.run = self.tokenizer.model.tokenize
         self.parts: dict[bytes, bytes] = {}
         # the vocabulary writes a byte that prints as itself, the others in order from 256
@@ -60,6 +62,14 @@ class WordIds(dict):
         self[word] = ids
         return ids
 
+    def of(self, text: bytes) -> bytes:
+        """Ids of a whole text; one that holds a special token's string goes to the tokenizer whole."""
+        lowered = text.lower()
+        if any(s in lowered for s in self.special):
+            ids = self.unaltered.encode(text.decode(), add_special_tokens=False).ids
+            return np.array(ids, "<u4").tobytes()
+        return b"".join(map(self.__getitem__, lowered.split()))
+
     def part(self, word: bytes) -> bytes:
         ids = self.parts.get(word)
         if ids is None:
@@ -83,7 +93,8 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFra
 
     ``tokenizer``: file of a vocabulary that works word by word and drops white
     space, so ids of a text are those of its words one after another; it also writes
-    all in lower case.
+    all in lower case.  Texts that hold the string of one of its special tokens are
+    given to it whole.
     """
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -92,7 +103,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFra
         out: dict[str, list] = defaultdict(list)
         end = END.to_bytes(4, "little")
         for doc, text in zip(batch.column("doc_id").to_pylist(), texts.to_pylist(), strict=True):
-            ids = b"".join(map(known.__getitem__, text.lower().split())) + end
+            ids = known.of(text) + end
             for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                 part = ids[at : at + 4 * capacity]
                 out["doc_id"].append(doc)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -110,8 +112,15 @@ def score_quality(
     no doc_id.  Without labels of both kinds the evidence is zero and all documents
     are kept.  An empty table gives an empty result.
     """
+    found = _scored(docs, labels, host, path, train_rows)
+    return found.select("doc_id", "evidence", "host_rate", "path_rate", "score", "kept")
+
+
+def _scored(docs, labels, host=None, path=None, train_rows=TRAIN_ROWS) -> DataFrame:
+    """``score_quality`` with what else a score depends on: host, path and a hash of the text."""
     sites = docs.select(
         "doc_id",
+        F.xxhash64("text").alias("text_hash"),
         (F.col("source") if host is None else host).cast("string").alias("host"),
         (F.col("lang") if path is None else path).cast("string").alias("path"),
         "text",
@@ -145,7 +154,7 @@ def score_quality(
         .withColumn("path_rate", safe(path_rate))
         .withColumn("score", 1 / (1 + F.exp(-(logit(F.col("path_rate")) + F.col("evidence")))))
         .select(
-            "doc_id", "evidence", "host_rate", "path_rate", "score",
+            "doc_id", "text_hash", "host", "path", "evidence", "host_rate", "path_rate", "score",
             (F.col("score") >= 0.5).alias("kept"),
         )
     )
@@ -189,9 +198,11 @@ def _judged(sites: DataFrame, labels: DataFrame, train_rows: int) -> DataFrame:
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the classifier keeps, with all their columns.
 
-    A doc_id that has several rows stays if any of them is good; rows without a
-    doc_id stay.
+    Each row is judged by its own text and site, whatever its doc_id.
     """
-    found = score_quality(docs, labels).groupBy("doc_id").agg(F.max("kept").alias("_kept"))
-    gone = staged(found.filter("NOT _kept AND doc_id IS NOT NULL").select("doc_id"))
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    judged = ["doc_id", "text_hash", "host", "path"]
+    gone = staged(_scored(docs, labels).filter("NOT kept").select(*judged).distinct())
+    own = [F.col("doc_id"), F.xxhash64("text"), F.col("source").cast("string"), F.col("lang").cast("string")]
+    gone = gone.toDF(*[f"_gone_{name}" for name in judged])
+    same = [value.eqNullSafe(F.col(f"_gone_{name}")) for value, name in zip(own, judged, strict=True)]
+    return docs.join(gone, reduce(Column.__and__, same), "left_anti")

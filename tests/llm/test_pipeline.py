@@ -1,12 +1,32 @@
 """The pipeline's stages, each on what the one before kept."""
 
 import corpus_pipeline as pipeline
-from larder.llm import decontaminate, near
+from pyspark.sql import functions as F
+
+from larder.llm import decontaminate, quality
 from larder.sources.workspace import staged
 
 FOLDER = "/root/testdata/sf0.001"
 
 
+def smallest_of_groups(docs):
+    """By brute force over all pairs: five-word shingles, similarity of 0.8 or more."""
+    words = {r["doc_id"]: (r["text"] or "").lower().split() for r in docs.collect()}
+    sets = {i: {tuple(w[k : k + 5]) for k in range(max(len(w) - 4, 1))} for i, w in words.items()}
+    left, smallest = set(sets), set()
+    while left:
+        first = min(left)
+        smallest.add(first)
+        left.remove(first)
+        reached = [first]
+        while reached:
+            own = sets[reached.pop()]
+            close = {i for i in left if len(own & sets[i]) >= 0.8 * len(own | sets[i])}
+            left -= close
+            reached += close
+    return smallest
+
+
 def test_stages(spark):
     docs = pipeline.documents(spark, FOLDER)
     columns = docs.columns
@@ -18,8 +38,7 @@ def test_stages(spark):
         before, after = ({r["doc_id"] for r in x.select("doc_id").collect()} for x in (docs, out))
         assert after <= before and after
         if name == "near_dedup":
-            links = near.near_components(docs).collect()
-            assert after == {r["component_id"] for r in links}
+            assert after == smallest_of_groups(docs)
         if name == "decontaminate":
             found = {r["doc_id"] for r in decontaminate.contained_items(docs, items).collect()}
             assert before - after == found
@@ -28,3 +47,21 @@ def test_stages(spark):
         docs = out
     last = pipeline.STAGES[-1][1](spark, docs, FOLDER)
     assert {r["doc_id"] for r in last.select("doc_id").distinct().collect()} == after
+
+
+def test_quality_judges_rows_by_their_own_text(spark):
+    """Rows that share a doc_id, or have none, do not share a verdict."""
+    docs = pipeline.documents(spark, FOLDER)
+    labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
+    found = quality.score_quality(docs, labels).collect()
+    bad = next(r["doc_id"] for r in found if not r["kept"])
+    good = next(r["doc_id"] for r in found if r["kept"])
+    for shared in (None, good):
+        moved = docs.withColumn(
+            "doc_id", F.when(~F.col("doc_id").isin(bad, good), F.col("doc_id")).otherwise(F.lit(shared))
+        )
+        kept = quality.keep_good(moved, labels.filter(~F.col("doc_id").isin(bad, good)))
+        assert kept.columns == docs.columns
+        texts = {r["text"] for r in kept.collect()}
+        of = {r["doc_id"]: r["text"] for r in docs.filter(F.col("doc_id").isin(bad, good)).collect()}
+        assert of[good] in texts and of[bad] not in texts
