@@ -12,3 +12,7 @@ The caller owns the session; nothing here starts, tunes or stops one.
 
 class LarderError(Exception):
     """An input is missing or does not meet its contract."""
+
+
+# Tables are made anew where this differs from what made them; raise it with their contents.
+REVISION = "3"

@@ -150,7 +150,7 @@ def csv_malformed_split(spark: SparkSession, folder: str) -> DataFrame:
     """Line records that fit the schema, and the raw text of those that do not."""
     path = work_dir(spark)
     _write_csv(_untidy_lines(adapters.prior_lines(spark, folder)), path)
-    parsed = csv.read_csv(spark, path, tables.PRIOR_LINES)
+    parsed, _ = csv.split_csv(spark, path, tables.PRIOR_LINES, work_dir(spark))
     valid = parsed.valid.select(
         F.lit("valid").alias("side"), F.concat_ws(",", *tables.PRIOR_LINES.columns).alias("record")
     )

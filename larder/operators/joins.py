@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from larder.sources.footers import row_bound
 from larder.sources.workspace import staged
 
 # A key with this many rows on the large side is split over several tasks, unless that
@@ -23,23 +25,38 @@ BROADCAST_BYTES = 32 << 20
 SALT = "_salt"
 
 
+@dataclass(frozen=True)
+class Size:
+    """How many rows a table has at most, and how many bytes all of its texts take."""
+
+    rows: int
+    octets: int = 0
+
+    def fits_broadcast(
+        self, columns: int, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+    ) -> bool:
+        return self.rows <= max_rows and 16 * self.rows * columns + self.octets <= max_bytes
+
+
 def fits_broadcast(
     df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
 ) -> bool:
-    """Measure whether ``df`` is small enough to broadcast (runs one or two small jobs).
+    """Measure whether ``df`` is small enough to broadcast.
 
-    Rows are counted first, which for a stored table reads file footers only;
+    The number of rows is read from file footers where the plan allows it, without a job;
     text lengths are added up only if there are few enough rows.
     """
-    rows = df.count()
+    rows = row_bound(df)
+    if rows is None:
+        rows = df.count()
     if rows > max_rows:
         return False
     texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    size = 16 * rows * len(df.columns)
+    octets = 0
     if texts and rows:
         widths = " + ".join(f"coalesce(octet_length(`{name}`), 0)" for name in texts)
-        size += df.selectExpr(f"sum(CAST({widths} AS BIGINT))").first()[0]
-    return size <= max_bytes
+        octets = df.selectExpr(f"sum(CAST({widths} AS BIGINT))").first()[0] or 0
+    return Size(rows, octets).fits_broadcast(len(df.columns), max_rows, max_bytes)
 
 
 def hot_keys(df: DataFrame, *key: str, hot_rows: int | None = None) -> DataFrame:
@@ -62,14 +79,19 @@ def hot_keys(df: DataFrame, *key: str, hot_rows: int | None = None) -> DataFrame
     )
 
 
-def find_hot_keys(df: DataFrame, *key: str) -> DataFrame | None:
-    """The hot keys of ``df``, written down, or None (runs one or two small jobs).
+def find_hot_keys(df: DataFrame, *key: str, rows: int | None = None) -> DataFrame | None:
+    """The hot keys of ``df``, written down, or None.
 
-    Rows are counted first, which for a stored table reads file footers only; a
-    table smaller than one hot key is not looked at any further.  Written down, so
+    The number of rows is ``rows`` if the caller knows it, else it is read from file
+    footers where the plan allows it, else counted.  A
+    table smaller than one hot key is not looked at any further, so no job is started
+    for it.  Written down, so
     that whoever uses them goes by the same list, whatever is recomputed later.
     """
-    rows = df.count()
+    if rows is None:
+        rows = row_bound(df)
+    if rows is None:
+        rows = df.count()
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     limit = max(HOT_ROWS, rows // (HOT_KEYS * partitions))
     if rows < 0.9 * limit:
@@ -85,6 +107,7 @@ def spread_join(
     spread_by: Sequence[str],
     hot: DataFrame | None,
     how: str = "inner",
+    null_shares: int = 1,
 ) -> DataFrame:
     """Equi-join that stays balanced when a few keys hold most of the rows.
 
@@ -98,13 +121,19 @@ def spread_join(
 
     The share number stays in the result as ``_salt``: with it in their keys,
     later groupings can go on from the partitioning this join leaves behind.
+    Rows without a key, which an outer join keeps, have ``null_shares`` shares.
     """
-    if hot is None:
+    lone = F.when(F.col(key).isNull(), F.lit(null_shares))
+    if hot is None and null_shares == 1:
         return large.withColumn(SALT, F.lit(0)).join(lookup, key, how)
+    if hot is None:
+        hashed = F.pmod(F.xxhash64(*spread_by), F.coalesce(lone, F.lit(1))).cast("int")
+        once = lookup.withColumn(SALT, F.lit(0))
+        return large.withColumn(SALT, hashed).join(once, [key, SALT], how)
     hot = F.broadcast(hot)
     shares = F.coalesce("_shares", F.lit(1))
     salted = large.join(hot, key, "left").withColumn(
-        SALT, F.pmod(F.xxhash64(*spread_by), shares).cast("int")
+        SALT, F.pmod(F.xxhash64(*spread_by), F.coalesce(lone, shares)).cast("int")
     )
     repeated = lookup.join(hot, key, "left").withColumn(
         SALT, F.explode(F.sequence(F.lit(0), shares - 1))
@@ -119,16 +148,17 @@ def lookup_join(
     spread_by: Sequence[str],
     how: str = "inner",
     counted: DataFrame | None = None,
-    measured: DataFrame | None = None,
+    size: Size | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
-    """Broadcast the lookup side if it measures small, else a spread join.
+    """Broadcast the lookup side if it is small, else a spread join.
 
-    ``measured`` is what to measure in place of ``lookup`` when that is costly
-    to compute and a cheaper table with the same columns, no row fewer and no text
-    shorter, bounds its size; ``counted`` likewise
-    where to look for hot keys in place of ``large``.
+    ``size`` bounds the lookup side where the caller knows a bound, which saves
+    measuring it; ``counted`` is where to look for hot keys in place of ``large``, and
+    ``rows`` how many rows that has.
     """
-    if fits_broadcast(lookup if measured is None else measured):
+    small = fits_broadcast(lookup) if size is None else size.fits_broadcast(len(lookup.columns))
+    if small:
         return large.join(F.broadcast(lookup), key, how)
-    hot = find_hot_keys(large if counted is None else counted, key)
+    hot = find_hot_keys(large if counted is None else counted, key, rows=rows)
     return spread_join(large, lookup, key, spread_by, hot, how).drop(SALT)

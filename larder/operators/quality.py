@@ -118,9 +118,15 @@ def value_checks(df: DataFrame, spec: TableSpec, dataset: str | None = None) ->
 
 def duplicate_checks(df: DataFrame, keys: Sequence[str], dataset: str) -> DataFrame:
     """Rows, distinct keys and excess rows, from one grouping; null is a key too."""
-    groups = df.groupBy(*keys).agg(F.count("*").alias("n"))
+    return duplicate_counts(df.groupBy(*keys).agg(F.count("*").alias("n")), "n", keys, dataset)
+
+
+def duplicate_counts(
+    groups: DataFrame, rows: str, keys: Sequence[str], dataset: str
+) -> DataFrame:
+    """The same from a table with one row for each key; ``rows`` says how many it stands for."""
     totals = groups.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
+        F.coalesce(F.sum(rows), F.lit(0)).alias("total"),
         F.count("*").alias("distinct_keys"),
     )
     excess = "(total - distinct_keys)"
@@ -140,12 +146,23 @@ def duplicate_checks(df: DataFrame, keys: Sequence[str], dataset: str) -> DataFr
 
 
 def check_table(
-    df: DataFrame, spec: TableSpec, dataset: str | None = None, duplicates: bool = True
+    df: DataFrame,
+    spec: TableSpec,
+    dataset: str | None = None,
+    duplicates: bool = True,
+    groups: DataFrame | None = None,
+    rows: str = "_rows",
 ) -> DataFrame:
-    """All checks of one table."""
+    """All checks of one table.
+
+    ``groups`` has one row for each key and, in ``rows``, how many rows it stands for: with
+    it duplicates are counted without grouping the table again.
+    """
     name = dataset or spec.name
     checks = schema_checks(df, spec, name).unionByName(value_checks(df, spec, name))
-    if duplicates:
+    if groups is not None:
+        checks = checks.unionByName(duplicate_counts(groups, rows, spec.key, name))
+    elif duplicates:
         checks = checks.unionByName(duplicate_checks(df, spec.key, name))
     return checks
 

@@ -7,7 +7,15 @@ from pyspark.sql import functions as F
 
 from larder import tables
 from larder.operators import cleaning
-from larder.operators.joins import SALT, find_hot_keys, lookup_join, spread_join
+from larder.operators.joins import (
+    BROADCAST_ROWS,
+    SALT,
+    Size,
+    find_hot_keys,
+    lookup_join,
+    spread_join,
+)
+from larder.sources.footers import row_bound
 
 ORDER_CONTEXT = ["order_id", "user_id", "order_dow", "order_hour_of_day"]
 
@@ -33,16 +41,23 @@ def retail_transactions(
     products: DataFrame,
     aisles: DataFrame,
     departments: DataFrame,
+    size: Size | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
-    """One row per line of a cleaned line table, with order and product context."""
+    """One row per line of a cleaned line table, with order and product context.
+
+    ``size`` bounds the products with their names and ``rows`` is the number of lines,
+    where the caller knows them.
+    """
     in_order = spread_join(
         lines,
         orders.select(*ORDER_CONTEXT),
         "order_id",
         spread_by=["product_id", "add_to_cart_order"],
-        hot=find_hot_keys(lines, "order_id"),
+        hot=find_hot_keys(lines, "order_id", rows=rows),
     )
-    return _with_products(in_order, products, aisles, departments, lines, products)
+    size = size or size_with_names(products, aisles, departments)
+    return _with_products(in_order, products, aisles, departments, lines, size, rows)
 
 
 def transactions_from_raw(
@@ -76,22 +91,43 @@ def transactions_from_raw(
         cleaning.clean_aisles(aisles),
         cleaning.clean_departments(departments),
         counted=lines,
-        bounding=products,
+        size=size_with_names(products, aisles, departments),
     )
 
 
-def _with_products(lines, products, aisles, departments, counted, bounding):
-    """Lines with the names of their products, aisles and departments.
+def size_with_names(products: DataFrame, aisles: DataFrame, departments: DataFrame) -> Size:
+    """A bound of the products with their aisle and department names.
 
-    What would be broadcast is measured with its names: ``bounding`` has every row of
-    ``products`` and perhaps more, and gets them as ``products`` does.
+    The names of each product take no more than the longest aisle and the longest
+    department name, so the three tables are measured on their own and not joined.
+    Cleaning drops rows and shortens texts, but for a few letters whose lower case takes
+    half as many bytes again; lengths count twice, so the bound of uncleaned tables
+    holds for the cleaned ones.
     """
+    rows = row_bound(products)
+    if rows is None:
+        rows = products.count()
+    if rows > BROADCAST_ROWS:
+        return Size(rows)
+    longest = [
+        table.agg(F.max(F.octet_length(name)).alias("n"))
+        for table, name in ((aisles, "aisle"), (departments, "department"))
+    ]
+    own = products.agg(F.sum(F.octet_length("product_name")).alias("n"))
+    found = own.union(longest[0]).union(longest[1]).collect()
+    octets, *widest = (r["n"] or 0 for r in found)
+    return Size(rows, 2 * (octets + rows * sum(widest)))
+
+
+def _with_products(lines, products, aisles, departments, counted, size, rows=None):
+    """Lines with the names of their products, aisles and departments."""
     named = lookup_join(
         lines.drop(SALT),
         products_enriched(products, aisles, departments),
         "product_id",
         spread_by=["order_id", "add_to_cart_order"],
         counted=counted,
-        measured=products_enriched(bounding, aisles, departments),
+        size=size,
+        rows=rows,
     )
     return named.select(*tables.TRANSACTION_COLUMNS)

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
 from functools import partial
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from larder import tables
 from larder.operators import kpis, quality
+from larder.plans.stage import Stage
 from larder.plans.together import together
-from larder.sources.parquet import read_table, write_table
+from larder.sources import parquet
+from larder.sources.parquet import read_table
+from larder.sources.workspace import scope, staged
 
 
 def read_fact(spark: SparkSession, silver: str) -> DataFrame:
@@ -18,50 +21,56 @@ def read_fact(spark: SparkSession, silver: str) -> DataFrame:
     return read_table(spark, silver, tables.TRANSACTIONS, tables.KPI_FACT_COLUMNS)
 
 
-def gold_tables(products: DataFrame, orders: DataFrame, fact: DataFrame) -> dict[str, DataFrame]:
-    """The five tables from the product aggregates, the order level and the fact table."""
-    return {
-        "gold_top_products": kpis.gold_top_products(products),
-        "gold_reorder_metrics": kpis.gold_reorder_metrics(products),
-        "gold_department_metrics": kpis.gold_department_metrics(fact),
-        "gold_basket_metrics": kpis.gold_basket_metrics(orders),
-        "gold_customer_metrics": kpis.gold_customer_metrics(orders),
-    }
+GOLD = {
+    "gold_top_products": (kpis.gold_top_products, "products"),
+    "gold_reorder_metrics": (kpis.gold_reorder_metrics, "products"),
+    "gold_department_metrics": (kpis.gold_department_metrics, "fact"),
+    "gold_basket_metrics": (kpis.gold_basket_metrics, "orders"),
+    "gold_customer_metrics": (kpis.gold_customer_metrics, "orders"),
+}
 
 
-def write_gold(df: DataFrame, gold: str, name: str) -> int:
-    quality.require_columns(df, tables.GOLD_SCHEMAS[name], name)
-    return write_table(df, gold, name)
+def gold_table(name: str, parts: Mapping[str, DataFrame]) -> DataFrame:
+    """One of the five tables, from the product aggregates, the order level or the fact table."""
+    table, source = GOLD[name]
+    return table(parts[source])
 
 
 def build_gold(spark: SparkSession, silver: str, gold: str) -> dict[str, str]:
-    """Write the gold tables; returns their paths.
+    """Write the gold tables; returns the folders of their files.
 
-    The fact table is read three times: the two aggregates that feed two tables
-    each are kept, on executor disks where memory is short, and are recomputed
-    from the fact table if an executor is lost.
+    The fact table is read three times: what two tables share, the aggregates of products and
+    of orders, is written once below the work folder and read by both, so a lost
+    executor costs a re-read.  Tables are published together; those that are there for
+    this version of the fact table already are not made again.
     """
+    stage = Stage(spark, gold)
+    inputs = {tables.TRANSACTIONS: parquet.identity(spark, silver, tables.TRANSACTIONS)}
     fact = read_fact(spark, silver)
-    products = kpis.product_aggregates(fact).persist(StorageLevel.MEMORY_AND_DISK)
-    orders = kpis.order_level(fact).persist(StorageLevel.MEMORY_AND_DISK)
-    found = gold_tables(products, orders, fact)
+    chains = (
+        (("gold_top_products", "gold_reorder_metrics"), "products", kpis.product_aggregates),
+        (("gold_department_metrics",), "fact", None),
+        (("gold_basket_metrics", "gold_customer_metrics"), "orders", kpis.order_level),
+    )
 
-    def write(*names: str) -> None:
+    def make(names: tuple[str, ...], shared: str, aggregate: Callable | None) -> None:
+        parts = dict.fromkeys(("products", "orders", "fact"), fact)
+        missing = any(stage.known(name, inputs) is None for name in names)
+        if aggregate and missing:
+            parts[shared] = staged(aggregate(fact))
         for name in names:
-            write_gold(found[name], gold, name)
+            stage.table(name, inputs, lambda: checked(gold_table(name, parts), name))
 
-    # one after the other what shares an aggregate, so that it is computed once
-    chains = (
-        ("gold_top_products", "gold_reorder_metrics"),
-        ("gold_department_metrics",),
-        ("gold_basket_metrics", "gold_customer_metrics"),
-    )
-    try:
-        together(spark, {names[0]: partial(write, *names) for names in chains})
-    finally:
-        products.unpersist()
-        orders.unpersist()
-    return {name: f"{gold}/{name}" for name in tables.GOLD_SCHEMAS}
+    with scope(spark):
+        together(spark, {chain[1]: partial(make, *chain) for chain in chains})
+    stage.publish()
+    return {name: f"{gold}/{stage.made[name].place}" for name in tables.GOLD_SCHEMAS}
+
+
+def checked(df: DataFrame, name: str) -> DataFrame:
+    """``df``, if it has the columns of the gold table it is meant for."""
+    quality.require_columns(df, tables.GOLD_SCHEMAS[name], name)
+    return df
 
 
 def read_gold(spark: SparkSession, gold: str) -> dict[str, DataFrame]:

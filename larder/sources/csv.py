@@ -4,19 +4,24 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larder import LarderError
-from larder.sources.parquet import write_table
+from larder import REVISION, LarderError
+from larder.sources import parquet
+from larder.sources.workspace import file_system
 from larder.tables import TableSpec
 
 # Names of the raw-text column and of the quarantine folder.
 CORRUPT = "_corrupt_record"
 QUARANTINE = "_malformed"
 
+# The column whose two values part the written records, and the folders of its values.
+SIDE = "malformed"
+VALID, MALFORMED = f"{SIDE}=false", f"{SIDE}=true"
+RAW = T.StructType([T.StructField(CORRUPT, T.StringType())])
+
 
 @dataclass(frozen=True)
 class ParsedCsv:
@@ -35,23 +40,21 @@ class IngestCount:
 def require_file(spark: SparkSession, path: str) -> int:
     """Bytes below ``path`` (a file or a folder of part files); none is an error.
 
-    Only file listings are read, through Spark, so any file system will do.
+    Only file listings are read, and no job is started.
     """
-    try:
-        listing = spark.read.format("binaryFile").load(path).select("length")
-    except AnalysisException as problem:
-        raise LarderError(f"no such input: {path}") from problem
-    size = listing.agg(F.sum("length")).first()[0]
+    files, at = file_system(spark, path)
+    found = list(files.globStatus(at) or [])
+    if not found:
+        raise LarderError(f"no such input: {path}")
+    size = sum(files.getContentSummary(status.getPath()).getLength() for status in found)
     if not size:
         raise LarderError(f"input is empty: {path}")
     return size
 
 
 def with_corrupt_column(schema: T.StructType) -> T.StructType:
-    """The schema with a column for the raw text of records that do not fit."""
-    if CORRUPT in schema.fieldNames():
-        return schema
-    return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType(), True)])
+    """The schema with one column, the last, for the raw text of records that do not fit."""
+    return T.StructType([f for f in schema if f.name != CORRUPT]).add(CORRUPT, T.StringType())
 
 
 def scan_csv(spark: SparkSession, path: str, spec: TableSpec, multi_line: bool | None = None):
@@ -106,6 +109,30 @@ def read_csv(
     return _split(_whole_records(scan, spec, Observation()), spec)
 
 
+def split_csv(
+    spark: SparkSession, path: str, spec: TableSpec, folder: str, multi_line: bool | None = None
+) -> tuple[ParsedCsv, IngestCount]:
+    """Both sides of a file, parsed once and written below ``folder``, a part for each side.
+
+    All columns are written, so whole records are judged; the counts come out of the write.
+    """
+    parse = Observation()
+    sided = scan_csv(spark, path, spec, multi_line).withColumn(SIDE, F.col(CORRUPT).isNotNull())
+    sided.observe(parse, F.count("*").alias("n"), F.count(CORRUPT).alias("bad")).write.partitionBy(
+        SIDE
+    ).parquet(folder)
+    n, bad = parse.get["n"], parse.get["bad"]
+    return ParsedCsv(
+        valid=_side(spark, f"{folder}/{VALID}", spec.schema, n - bad),
+        malformed=_side(spark, f"{folder}/{MALFORMED}", RAW, bad),
+    ), IngestCount(n - bad, bad)
+
+
+def _side(spark: SparkSession, folder: str, schema: T.StructType, rows: int) -> DataFrame:
+    """One side; nothing is written for a side without records."""
+    return spark.read.schema(schema).parquet(folder) if rows else spark.createDataFrame([], schema)
+
+
 def ingest_csv(
     spark: SparkSession,
     path: str,
@@ -115,16 +142,35 @@ def ingest_csv(
 ) -> IngestCount:
     """CSV to a bronze table; malformed records, if any, to the quarantine.
 
-    Both counts come out of the write itself.  A clean file is parsed once, one
-    with malformed records twice.
+    Both tables are versions over one parse.  A file that has not changed since it was
+    ingested is not read again.
     """
     require_file(spark, path)
-    scan = scan_csv(spark, path, spec, multi_line)
-    parse = Observation()
-    valid = _split(_whole_records(scan, spec, parse), spec).valid
-    valid.write.mode("overwrite").parquet(f"{bronze}/{spec.name}")
-    malformed = parse.get["n_malformed"]
-    if malformed:
-        rejected = _split(_whole_records(scan, spec, Observation()), spec).malformed
-        write_table(rejected, f"{bronze}/{QUARANTINE}", spec.name)
-    return IngestCount(parse.get["n_records"] - malformed, malformed)
+    multi_line = spec.multi_line if multi_line is None else multi_line
+    inputs = {
+        "file": parquet.files_identity(spark, path),
+        "multi_line": str(multi_line),
+        "larder": REVISION,
+    }
+    quarantine = f"{bronze}/{QUARANTINE}"
+    before = parquet.published(spark, bronze, spec.name)
+    if before and dict(before.inputs) == inputs:
+        aside = parquet.published(spark, quarantine, spec.name)
+        return IngestCount(before.rows, aside.rows if aside else 0)
+    folder = parquet.new_version()
+    place = f"{spec.name}/{folder}"
+    _, count = split_csv(spark, path, spec, f"{bronze}/{place}", multi_line)
+    version = parquet.Version(
+        folder, f"{place}/{VALID}", spec.schema.json(), count.valid, inputs=inputs
+    )
+    aside = parquet.Version(
+        folder, f"../{place}/{MALFORMED}", RAW.json(), count.malformed, inputs=inputs
+    )
+    if count.malformed:
+        parquet.prepare(spark, quarantine, spec.name, aside)
+        parquet.publish(spark, quarantine, spec.name)
+    else:
+        parquet.withdraw(spark, quarantine, spec.name)
+    parquet.prepare(spark, bronze, spec.name, version)
+    parquet.publish(spark, bronze, spec.name)
+    return count

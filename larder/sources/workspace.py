@@ -21,6 +21,34 @@ def file_system(spark: SparkSession, path: str):
     return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
 
 
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file, or None where there is no such file."""
+    files, at = file_system(spark, path)
+    if not files.exists(at):
+        return None
+    stream = files.open(at)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def replace_text(spark: SparkSession, path: str, text: str) -> None:
+    """Put a small file in the place of the former one, in one step."""
+    files, target = file_system(spark, path)
+    _, beside = file_system(spark, f"{path}.{uuid.uuid4().hex}")
+    stream = files.create(beside, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    overwrite = getattr(hadoop, "Options$Rename").OVERWRITE
+    options = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 1)
+    options[0] = overwrite
+    target = files.makeQualified(target)
+    context = hadoop.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration())
+    context.rename(files.makeQualified(beside), target, options)
+
+
 @contextmanager
 def scope(spark: SparkSession) -> Iterator[None]:
     """Work folders named within the block, by any of its threads, go when it ends.
