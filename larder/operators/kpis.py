@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder import functions as fn
+from larder.operators.joins import SALT
 
 
 def product_aggregates(fact: DataFrame) -> DataFrame:
@@ -70,15 +71,44 @@ def order_level(fact: DataFrame) -> DataFrame:
     return fact.groupBy("order_id", "user_id").agg(F.count("*").alias("basket_size"))
 
 
+def orders_by_customer(fact: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+    """The same rows as ``order_level``, partitioned by customer.
+
+    The fact table moves once, by customer; baskets are counted inside that partitioning,
+    and so are customers, if they are computed from this in one plan.  ``hot`` are customers
+    with very many lines, as ``joins.find_hot_keys`` gives them: their orders are
+    divided into shares, and ``customer_metrics`` adds the shares up.
+    """
+    lines = fact.select("order_id", "user_id")
+    if hot is None:
+        return order_level(lines.repartition("user_id"))
+    shares = F.coalesce("_shares", F.lit(1))
+    salted = lines.join(F.broadcast(hot), "user_id", "left").select(
+        "order_id", "user_id", F.pmod(F.xxhash64("order_id"), shares).cast("int").alias(SALT)
+    )
+    return (
+        salted.repartition("user_id", SALT)
+        .groupBy("order_id", "user_id", SALT)
+        .agg(F.count("*").alias("basket_size"))
+    )
+
+
 def basket_metrics(orders: DataFrame) -> DataFrame:
     return orders.select("order_id", "basket_size")
 
 
 def customer_metrics(orders: DataFrame) -> DataFrame:
-    return orders.groupBy("user_id").agg(
-        F.count("*").alias("total_orders"),
-        F.sum("basket_size").alias("total_products"),
-        F.avg("basket_size").alias("avg_basket_size"),
+    if SALT in orders.columns:  # shares of a customer first
+        orders = orders.groupBy("user_id", SALT).agg(
+            F.count("*").alias("_orders"), F.sum("basket_size").alias("basket_size")
+        )
+        count = F.sum("_orders")
+    else:
+        count = F.count("*")
+    return (
+        orders.groupBy("user_id")
+        .agg(count.alias("total_orders"), F.sum("basket_size").alias("total_products"))
+        .withColumn("avg_basket_size", F.col("total_products") / F.col("total_orders"))
     )
 
 

@@ -36,14 +36,18 @@ def schema_checks(df: DataFrame, spec: TableSpec, dataset: str | None = None) ->
     return _rows(one_row(df.sparkSession), metrics)
 
 
+# Prefixes of the profile's columns, which the checks name their metrics by.
+NULLS, INVALID = "null__", "invalid__"
+
+
 def profile(df: DataFrame, spec: TableSpec) -> DataFrame:
     """One row: total rows, nulls per column, failed casts per expected column."""
-    nulls = [F.expr(f"count_if(`{c}` IS NULL) AS `null__{c}`") for c in df.columns]
+    nulls = [F.expr(f"count_if(`{c}` IS NULL) AS `{NULLS}{c}`") for c in df.columns]
     bad_casts = [
         F.expr(
             f"count_if(`{f.name}` IS NOT NULL"
             f" AND try_cast(`{f.name}` AS {f.dataType.simpleString()}) IS NULL)"
-            f" AS `invalid__{f.name}`"
+            f" AS `{INVALID}{f.name}`"
         )
         for f in spec.schema.fields
         if f.name in df.columns
@@ -69,8 +73,8 @@ def _text(count: str) -> str:
 def _null_metrics(profiled: DataFrame, dataset: str) -> list[str]:
     found = []
     for label in profiled.columns:
-        if label.startswith("null__"):
-            column, n = label.removeprefix("null__"), f"`{label}`"
+        if label.startswith(NULLS):
+            column, n = label.removeprefix(NULLS), f"`{label}`"
             share = f"format_string('%.4f', rint({n} / total_rows * 100 * 1e4D) / 1e4D)"
             status = _flag(n, "WARN")
             found.append(_metric(dataset, "null", column, "null_count", _text(n), status))
@@ -83,13 +87,13 @@ def _cast_metrics(profiled: DataFrame, dataset: str) -> list[str]:
         _metric(
             dataset,
             "dtype",
-            label.removeprefix("invalid__"),
+            label.removeprefix(INVALID),
             "invalid_cast_count",
             _text(f"`{label}`"),
             _flag(f"`{label}`", "FAIL"),
         )
         for label in profiled.columns
-        if label.startswith("invalid__")
+        if label.startswith(INVALID)
     ]
 
 

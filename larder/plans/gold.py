@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from larder import tables
 from larder.operators import kpis, quality
+from larder.operators.joins import find_hot_keys
 from larder.plans.stage import Stage
 from larder.plans.together import together
 from larder.sources import parquet
@@ -41,16 +42,23 @@ def build_gold(spark: SparkSession, silver: str, gold: str) -> dict[str, str]:
 
     The fact table is read three times: what two tables share, the aggregates of products and
     of orders, is written once below the work folder and read by both, so a lost
-    executor costs a re-read.  Tables are published together; those that are there for
+    executor costs a re-read.  Orders are written by customer, so that each customer is whole
+    within a file and adding customers up moves a row for each.  Tables are published together; those that are there for
     this version of the fact table already are not made again.
     """
     stage = Stage(spark, gold)
     inputs = {tables.TRANSACTIONS: parquet.identity(spark, silver, tables.TRANSACTIONS)}
     fact = read_fact(spark, silver)
+    stored = parquet.published(spark, silver, tables.TRANSACTIONS)
+
+    def by_customer(fact: DataFrame) -> DataFrame:
+        hot = find_hot_keys(fact, "user_id", rows=stored.rows if stored else None)
+        return kpis.orders_by_customer(fact, hot)
+
     chains = (
         (("gold_top_products", "gold_reorder_metrics"), "products", kpis.product_aggregates),
         (("gold_department_metrics",), "fact", None),
-        (("gold_basket_metrics", "gold_customer_metrics"), "orders", kpis.order_level),
+        (("gold_basket_metrics", "gold_customer_metrics"), "orders", by_customer),
     )
 
     def make(names: tuple[str, ...], shared: str, aggregate: Callable | None) -> None:

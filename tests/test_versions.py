@@ -348,3 +348,24 @@ def test_star_queries_are_built_without_join_jobs(spark, tmp_path, monkeypatch):
     assert size.rows >= wide.rows and size.octets >= wide.n
     monkeypatch.setattr(star, "BROADCAST_ROWS", 3)
     assert not star.size_with_names(*raw[1:]).fits_broadcast(4, max_rows=3)
+
+
+# --- orders and customers in one exchange ------------------------------------
+
+
+@pytest.mark.parametrize("hot_rows", [None, 3])
+def test_orders_and_customers_share_an_exchange(spark, tmp_path, monkeypatch, hot_rows):
+    parquet.write_table(catalog._fact(spark, SF), str(tmp_path), tables.TRANSACTIONS)
+    fact = gold.read_fact(spark, str(tmp_path))
+    hot = None if hot_rows is None else joins.hot_keys(fact, "user_id", hot_rows=hot_rows)
+    orders = kpis.orders_by_customer(fact, hot)
+    customers = kpis.customer_metrics(orders)
+    text = customers._jdf.queryExecution().executedPlan().toString()
+    if hot is None:
+        assert text.count("Exchange") == 1
+    else:
+        assert "Exchange hashpartitioning(order_id" not in text
+        assert orders.groupBy("user_id").agg(F.count_distinct(joins.SALT).alias("n")).filter("n > 1").count()
+    plain = kpis.order_level(fact)
+    assert sorted(kpis.basket_metrics(orders).collect()) == sorted(kpis.basket_metrics(plain).collect())
+    assert sorted(customers.collect()) == sorted(kpis.customer_metrics(plain).collect())
