@@ -1,24 +1,20 @@
 """Operator 8, LM scoring: prediction by partial matching with exclusion.
 
-The text of a document is its words, lower-cased, each closed by a blank, and one end
-sign.  A byte is predicted from the longest context that the training texts have, the
-word so far from its start (up to DEPTH bytes), and if it was never seen there, from
-the last two, one and no bytes, and at last evenly.  Bytes that a longer context has
-are excluded from the shorter ones.
-
-How likely a context is to be left depends on its depth, its count and the number of
-its different bytes; the chance is counted for each such kind of context by taking
-out one occurrence of the training texts at a time.
-
-Texts fall into a few classes by their bytes (k-means over all training texts), with a
-trie each; the code of a document names its class first.  Contexts do not reach over
-the start of a word, so a word's code length depends on its class and the word alone:
-it is worked out once for each, and words carry their class as first byte.
+A document is coded as its words, lower-cased, with a blank between them, and one end
+sign.  Each byte is predicted from the ORDER bytes before it, over the borders of words; if it
+was never seen after them, from one byte less, and so on down to none, and at last
+evenly.  A context of which q different bytes were seen n times in all is left with chance q / (n + q), and
+bytes that a longer context has are excluded from the shorter ones.
+
+A byte's chance depends on it and the ORDER bytes before it alone, so it is worked out once for each such gram: Spark
+counts the grams of all training texts, adds them up to those of shorter contexts, and joins them
+with the totals of their contexts.  The most frequent grams are sent to tasks, the
+others meet their documents in a join.  No context has over 256 rows, so no key is hot.
 """
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 from math import log10
 
@@ -29,17 +25,16 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import by_batch, group_starts, sorted_groups
 from larder.sources.workspace import staged
 
-DEPTH = 24  # bytes of a word that one context may have
-CUT = 3  # leading bytes by which the trie is divided among tasks
-CLASSES = 12  # of texts, with a trie each
+ORDER = 5  # bytes of the longest context; a gram has one more and fits 48 bits
 COUNTED = 400_000  # different words that a task counts before it passes them on
-SLICE = 1_000  # texts whose rare words are held at a time
+GRAMS = 2_000_000  # different grams likewise
+SLICE = 1_000  # texts whose rare words and grams are held at a time
+SLICE_BYTES = 1 << 20
 HEAD = 600_000  # frequent words that every task knows, at most
+CELLS = (2_097_143, 1_048_573)  # of the tables of frequent grams that every task knows
 END = b"\n"  # no word holds it
-CLOSE = 32
 SYMBOLS = 256
 
 
@@ -49,95 +44,146 @@ def held_out(doc_id: Column) -> Column:
 
 
 def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Parts of batches with few texts and, unless one text alone has more, few bytes."""
     for batch in batches:
-        for at in range(0, batch.num_rows, SLICE):
-            yield batch.slice(at, SLICE)
+        size = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+        start, held = 0, 0
+        for k, n in enumerate(size.tolist()):
+            if k > start and (held + n > SLICE_BYTES or k - start == SLICE):
+                yield batch.slice(start, k - start)
+                start, held = k, 0
+            held += n
+        if batch.num_rows:
+            yield batch.slice(start)
 
 
-def texts_of(column: pa.Array) -> list[bytes]:
-    return [
-        t.lower() for t in pc.cast(pc.fill_null(column, ""), pa.large_binary()).to_pylist()
-    ]
+def words_of(column: pa.Array) -> list[list[bytes]]:
+    texts = pc.cast(pc.fill_null(column, ""), pa.large_binary()).to_pylist()
+    return [t.lower().split() for t in texts]
 
 
-def histogram(text: bytes) -> np.ndarray:
-    """Square roots of the shares of bytes: distances of these are between distributions."""
-    if not text:
-        return np.zeros(256, np.float32)
-    counts = np.bincount(np.frombuffer(text, np.uint8), minlength=256)
-    return np.sqrt(counts / len(text)).astype(np.float32)
+def grams(texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """A gram for each byte of the coded texts, and the place of its text.
 
+    The byte is the lowest of the gram, the ones before it follow; end signs stand
+    ahead of each text.
+    """
+    coded = [b" ".join(words) + END for words in texts]
+    data = np.frombuffer((END * ORDER).join([b"", *coded]), np.uint8).astype(np.int64)
+    every = data[ORDER:].copy()
+    for k in range(1, ORDER + 1):
+        every |= data[ORDER - k : -k] << (8 * k)
+    owner = np.repeat(np.arange(len(coded)), [len(c) for c in coded])
+    return every[np.arange(len(owner)) + ORDER * owner], owner
+
+
+def added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys of several tables of counts, and the sums of their counts."""
+    keys = np.concatenate([k for k, _ in parts])
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.diff(keys, prepend=-1))
+    return keys[first], np.add.reduceat(np.concatenate([n for _, n in parts])[order], first)
+
+
+def count_grams(train: DataFrame) -> DataFrame:
+    """g, n: how often each gram is in the texts."""
 
-def nearest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
-    return ((centres**2).sum(1) - 2 * x @ centres.T).argmin(1)
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+
+        def told() -> pa.RecordBatch:
+            return pa.RecordBatch.from_pydict(dict(zip(("g", "n"), added(held), strict=True)))
+
+        for batch in sliced(batches):
+            held.append(np.unique(grams(words_of(batch.column("text")))[0], return_counts=True))
+            if sum(len(k) for k, _ in held) > GRAMS:
+                held = [added(held)]
+                if len(held[0][0]) > GRAMS // 2:
+                    yield told()
+                    held = []
+        if held:
+            yield told()
 
+    return train.select("text").mapInArrow(count, "g long, n long").groupBy("g").agg(F.sum("n").alias("n"))
 
-def text_classes(train: DataFrame, count: int, rounds: int = 6) -> tuple[np.ndarray, np.ndarray]:
-    """Centres of ``count`` classes of texts, and how many training texts each has.
 
-    Starts from texts that are far from each other among a thousand chosen by hash;
-    every round then goes over all training texts.
+def part_of(gram: Column | str, order: int) -> Column:
+    """The gram with a context of ``order`` bytes only."""
+    gram = F.col(gram) if isinstance(gram, str) else gram
+    return gram.bitwiseAND(F.lit((1 << 8 * (order + 1)) - 1))
+
+
+class Model:
+    """Counts of grams by order, and of each context its totals.
+
+    ``levels[k]``: g, n.  ``contexts[k]``: c, total and kinds (occurrences and different
+    bytes after it), below (how often these bytes follow the next shorter context).
     """
 
-    def measure(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows = [histogram(t).tobytes() for t in texts_of(batch.column("text"))]
-        return pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], ["x"])
-
-    points = staged(by_batch(train.select("text"), measure, "x binary"))
-    some = points.orderBy(F.xxhash64("x"), "x").limit(1000).collect()
-    centres = np.zeros((1, 256))
-    if some:
-        seeds = np.stack([np.frombuffer(r[0], np.float32) for r in some]).astype(float)
-        centres = seeds[:1]
-        while len(centres) < min(count, len(seeds)):
-            gaps = ((seeds[:, None] - centres[None]) ** 2).sum(2).min(1)
-            centres = np.vstack([centres, seeds[gaps.argmax()]])
-    sizes = np.zeros(len(centres))
-    for _ in range(rounds):
-        now = centres
-
-        def add(batches: Iterator[pa.RecordBatch], now=now) -> Iterator[pa.RecordBatch]:
-            sums, n = np.zeros(now.shape), np.zeros(len(now), np.int64)
-            for batch in batches:
-                rows = batch.column("x").to_pylist()
-                if rows:
-                    x = np.frombuffer(b"".join(rows), np.float32).reshape(-1, 256)
-                    k = nearest(x, now)
-                    np.add.at(sums, k, x)
-                    n += np.bincount(k, minlength=len(now))
-            yield pa.RecordBatch.from_pydict(
-                {"k": np.arange(len(now)), "n": n, "sums": [v.tolist() for v in sums]}
+    def __init__(self, counted: DataFrame) -> None:
+        self.levels = [counted]
+        for k in range(ORDER - 1, -1, -1):
+            longer = self.levels[0]
+            self.levels.insert(
+                0, staged(longer.groupBy(part_of("g", k).alias("g")).agg(F.sum("n").alias("n")))
             )
-
-        each = [F.sum(F.col("sums")[i]).alias(f"_{i}") for i in range(256)]
-        rows = (
-            points.mapInArrow(add, "k long, n long, sums array<double>")
-            .groupBy("k")
-            .agg(F.sum("n").alias("n"), F.array(*each).alias("sums"))
-            .collect()  # one row for each class
+        self.contexts = [staged(self._totals(k)) for k in range(ORDER + 1)]
+
+    def _totals(self, k: int) -> DataFrame:
+        rows = self.levels[k].withColumn("_m", F.lit(0).cast("long"))
+        if k:
+            shorter = self.levels[k - 1].select(F.col("g").alias("_s"), F.col("n").alias("_m"))
+            rows = self.levels[k].withColumn("_s", part_of("g", k - 1)).join(_sent(shorter, k - 1), "_s")
+        return rows.groupBy(F.shiftright("g", 8).alias("c")).agg(
+            F.sum("n").alias("total"), F.count("*").alias("kinds"), F.sum("_m").alias("below")
         )
-        for r in rows:
-            sizes[r["k"]] = r["n"]
-            if r["n"]:
-                centres = centres.copy()
-                centres[r["k"]] = np.array(r["sums"]) / r["n"]
-    return centres, sizes
-
-
-def tokens(column: pa.Array, centres: np.ndarray) -> Iterator[tuple[int, list[bytes]]]:
-    """The class of each text and its words, which begin with the class."""
-    texts = texts_of(column)
-    if not texts:
-        return
-    kinds = nearest(np.stack([histogram(t) for t in texts]), centres)
-    for text, k in zip(texts, kinds.tolist(), strict=True):
-        mark = bytes([k])
-        words = [mark + w for w in text.split()]
-        words.append(mark + END)
-        yield k, words
-
-
-def count_words(docs: DataFrame, centres: np.ndarray) -> DataFrame:
+
+    def known(self) -> DataFrame:
+        """g, n and v, the log10 chance of its byte, of all grams of the training texts."""
+        found = self.levels[ORDER].withColumn("c", F.shiftright("g", 8)).join(self.contexts[ORDER], "c")
+        return found.select("g", "n", F.log10(F.col("n") / (F.col("total") + F.col("kinds"))).alias("v"))
+
+    def unseen(self, asked: DataFrame) -> DataFrame:
+        """g and v of distinct grams that no training text has.
+
+        From the longest context to the shortest: what is left (``v`` so far) goes on with
+        the number of bytes that are excluded (``out``) and how often they follow the
+        context of this order (``gone``).
+        """
+        nothing = F.lit(0).cast("long")
+        state = asked.select("g", F.lit(0.0).alias("v"), nothing.alias("out"), nothing.alias("gone"))
+        found = None
+        for k in range(ORDER, -1, -1):
+            level = self.levels[k].select(F.col("g").alias("_g"), "n")
+            context = self.contexts[k].withColumnRenamed("c", "_c")
+            met = staged(
+                state.withColumn("_g", part_of("g", k))
+                .withColumn("_c", F.shiftright("_g", 8))
+                .join(_sent(context, k), "_c", "left")
+                .join(_sent(level, k), "_g", "left")
+            )
+            new = F.col("kinds") - F.col("out")
+            free = F.col("total") - F.col("gone") + new
+            seen = met.filter("n IS NOT NULL").select("g", (F.col("v") + F.log10(F.col("n") / free)).alias("v"))
+            found = seen if found is None else found.union(seen)
+            left_with = F.when(new > 0, F.log10(new / free)).otherwise(F.lit(0.0))
+            state = met.filter("n IS NULL").select(
+                "g",
+                (F.col("v") + left_with).alias("v"),
+                F.coalesce("kinds", "out").alias("out"),
+                F.coalesce("below", nothing).alias("gone"),
+            )
+        even = F.log10(F.greatest(F.lit(SYMBOLS) - F.col("out"), F.lit(1)).cast("double"))
+        return found.union(state.select("g", F.col("v") - even))
+
+
+def _sent(table: DataFrame, order: int) -> DataFrame:
+    """Tables of one byte of context at most have 65,536 rows at most and are sent to all."""
+    return F.broadcast(table) if order < 2 else table
+
+
+def count_words(docs: DataFrame) -> DataFrame:
     """word, c: its count in training texts, 0 for words of held-out texts only."""
 
     def told(train: Counter, other: set[bytes]) -> pa.RecordBatch:
@@ -150,315 +196,146 @@ def count_words(docs: DataFrame, centres: np.ndarray) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         train, other = Counter(), set()
         for batch in sliced(batches):
-            texts = tokens(batch.column("text"), centres)
-            for out, (_, words) in zip(batch.column("held_out").to_pylist(), texts, strict=True):
+            texts = words_of(batch.column("text"))
+            for out, words in zip(batch.column("held_out").to_pylist(), texts, strict=True):
                 if out:
                     other.update(words)
                 else:
                     train.update(words)
+                    train[END] += 1
             if len(train) + len(other) > COUNTED:
                 yield told(train, other)
                 train, other = Counter(), set()
-        yield told(train, other)
+        yield told(train, other | {END})
 
     rows = docs.select("held_out", "text").mapInArrow(count, "word binary, c long")
     return rows.groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def count_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of (class, context, byte) for contexts of two bytes, one at a word's start.
-
-    Shorter contexts follow from these.  The first byte tells them (0) from what
-    follows the first two bytes of words (1).
-    """
-    seen: Counter = Counter()
-    for batch in batches:
-        for token, c in zip(batch.column("word").to_pylist(), batch.column("c").to_pylist(), strict=True):
-            if not c:
-                continue
-            k, word = token[:1], token[1:]
-            s = b" " + word + (b"" if word == END else b" ")
-            mark = b"\x00" + k
-            seen[mark + s[:2]] += c
-            for i in range(len(s) - 2):
-                seen[mark + s[i : i + 3]] += c
-            if len(s) > 3:
-                seen[b"\x01" + k + s[1:4]] += c
-    if seen:
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], ["what", "n"]
-        )
-
-
-Kind = tuple[int, int, int]
-
-
-def kind(depth: int, different: int, total: int) -> Kind:
-    """Contexts of one kind are left about equally often."""
-    return min(depth, 9), different if different <= 4 else 3 + different.bit_length(), total.bit_length()
-
-
-def left_out(nodes: dict[bytes, dict[int, int]], depth: int | None, seen: dict[Kind, list[int]]) -> None:
-    """Take out each occurrence in turn: is its byte then new to its context?"""
-    for prefix, counts in nodes.items():
-        total, different = sum(counts.values()), len(counts)
-        if total < 2:
-            continue
-        deep = len(prefix) - 1 if depth is None else depth
-        once = sum(1 for n in counts.values() if n == 1)
-        if once:
-            at = seen.setdefault(kind(deep, max(different - 1, 1), total - 1), [0, 0])
-            at[0] += once
-            at[1] += once
-        if total > once:
-            seen.setdefault(kind(deep, different, total - 1), [0, 0])[1] += total - once
-
-
-class Contexts:
-    """Byte counts after short contexts, and what escaping from a context leads to."""
-
-    def __init__(self, rows: list[tuple[bytes, int]]) -> None:
-        self.short: dict[bytes, dict[int, int]] = defaultdict(dict)
-        self.start: dict[bytes, dict[int, int]] = defaultdict(dict)
-        self.seen: dict[Kind, list[int]] = {}
-        for what, n in rows:
-            k, context, byte = what[1:2], what[2:-1], what[-1]
-            if what[0]:
-                self.start[k + context][byte] = n
-                continue
-            for at in range(len(context) + 1):
-                counts = self.short[k + context[at:]]
-                counts[byte] = counts.get(byte, 0) + n
-
-    def escape(self, depth: int, different: int, total: int) -> float:
-        new, every = self.seen.get(kind(depth, different, total), (0, 0))
-        return (new + different / (total + different)) / (every + 1)
-
-    def code(self, byte: int, k: bytes, history: bytes, first: dict[int, int] | None, depth: int) -> float:
-        """log10 chance of ``byte`` after ``history`` (from the blank on) in class ``k``.
-
-        ``first``: counts after the whole history, where it is longer than two bytes.
-        """
-        out, excluded = 0.0, ()
-        if first:
-            total = sum(first.values())
-            away = self.escape(depth, len(first), total)
-            if byte in first:
-                return log10((1 - away) * first[byte] / total)
-            out, excluded = log10(away), first
-        for n in range(min(2, len(history)), -1, -1):
-            counts = self.short.get(k + history[len(history) - n :])
-            if not counts:
-                continue
-            left = {b: c for b, c in counts.items() if b not in excluded} if excluded else counts
-            if not left:
-                continue
-            total = sum(left.values()) + len(left)
-            if byte in left:
-                return out + log10(left[byte] / total)
-            out += log10(len(left) / total)
-            excluded = counts
-        return out - log10(max(SYMBOLS - len(excluded), 1))
-
-
-def subtrie(words: list[bytes], counts: list[int]) -> dict[bytes, dict[int, int]]:
-    """What follows each longer start of the words (with their class) that were trained on."""
-    nodes: dict[bytes, dict[int, int]] = defaultdict(dict)
-    for w, c in zip(words, counts, strict=True):
-        if c and len(w) > CUT:
-            for i in range(CUT + 1, min(len(w), DEPTH + 1) + 1):
-                at = nodes[w[:i]]
-                b = w[i] if i < len(w) else CLOSE
-                at[b] = at.get(b, 0) + c
-    return nodes
-
-
-def score_words(words: list[bytes], counts: list[int], contexts: Contexts) -> list[float]:
-    """log10 chances of words that share their first bytes; ``words`` are all of those."""
-    nodes = subtrie(words, counts)
-    ahead: dict[bytes, tuple[dict[int, int], float]] = {}
-    for prefix, n in nodes.items():
-        total = sum(n.values())
-        ahead[prefix] = n, log10((1 - contexts.escape(len(prefix) - 1, len(n), total)) / total)
-    memory: dict[tuple, float] = {}
-    out = []
-    for token in words:
-        k, w = token[:1], token[1:]
-        if w == END:
-            out.append(contexts.code(END[0], k, b" ", None, 0))
-            continue
-        line = 0.0
-        for i in range(len(w) + 1):
-            b = w[i] if i < len(w) else CLOSE
-            first = None
-            if i > 2:
-                history, key = w[i - 2 : i], (w[i - 2 : i], b)
-                if i <= DEPTH:
-                    found = ahead.get(token[: i + 1])
-                    if found:
-                        first = found[0]
-                        n = first.get(b)
-                        if n:
-                            line += log10(n) + found[1]
-                            continue
-                        key = (token[: i + 1], b, i)
-            elif i == 2:
-                history, first, key = w[:2], contexts.start.get(token[:3]), (b" ", w[:2], b)
-            else:
-                history = b" " + w[:i]
-                key = (history, b)
-            value = memory.get((k, key))
-            if value is None:
-                memory[k, key] = value = contexts.code(b, k, history, first, i)
-            line += value
-        out.append(line)
-    return out
-
-
-def word_scores(counted: DataFrame) -> DataFrame:
-    """word, c and lp, the log10 chance of its bytes."""
-    context = counted.sparkSession.sparkContext
-    rows = (
-        counted.mapInArrow(count_contexts, "what binary, n long")
-        .groupBy("what")
-        .agg(F.sum("n").alias("n"))
-        .collect()  # for each class no more entries than there are triples of bytes
-    )
-    table = [(bytes(r[0]), r[1]) for r in rows]
-    dealt = (
-        counted.withColumn("_cut", F.expr(f"substring(word, 1, {CUT + 1})"))
-        .repartition("_cut")
-        .sortWithinPartitions("_cut")
-    )
-
-    def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes], list[int]]]:
-        for part in sorted_groups(batches, ["_cut"]):
-            cut = np.array(part.column("_cut").to_pylist(), object)
-            words, counts = part.column("word").to_pylist(), part.column("c").to_pylist()
-            edges = np.append(group_starts([cut]), len(cut))
-            for a, b in zip(edges[:-1], edges[1:], strict=True):
-                yield words[a:b], counts[a:b]
-
-    def leave(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[Kind, list[int]] = {}
-        for words, counts in groups(batches):
-            left_out(subtrie(words, counts), None, seen)
-        columns = [*zip(*seen, strict=True), *zip(*seen.values(), strict=True)] if seen else [[]] * 5
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, pa.int64()) for c in columns], ["depth", "different", "size", "new", "every"]
-        )
-
-    kinds = (
-        dealt.mapInArrow(leave, "depth long, different long, size long, new long, every long")
-        .groupBy("depth", "different", "size")
-        .agg(F.sum("new").alias("new"), F.sum("every").alias("every"))
-        .collect()  # at most 10 x 12 x 64 kinds
-    )
-    driver = Contexts(table)
-    left_out(driver.start, 2, driver.seen)
-    for r in kinds:
-        driver.seen[r[0], r[1], r[2]] = [r[3], r[4]]
-    sent = context.broadcast((table, driver.seen))
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        contexts = Contexts(sent.value[0])
-        contexts.seen = sent.value[1]
-        for words, counts in groups(batches):
-            lines = score_words(words, counts, contexts)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(words, pa.binary()), pa.array(counts, pa.int64()), pa.array(lines, pa.float64())],
-                ["word", "c", "lp"],
+def frequent_words(counted: DataFrame, head: int) -> dict[bytes, float]:
+    """At most ``head`` of the most frequent words, each with log10 of its count plus one."""
+    # the smallest count (a power of two) that at most ``head`` words reach
+    level = F.floor(F.log2(F.col("c") + 1) * 4)
+    steps = counted.filter("c > 0").groupBy(level.alias("k")).agg(F.count("*").alias("n")).collect()
+    least, room = 1 << 62, head
+    for k, n in sorted(((r[0], r[1]) for r in steps), reverse=True):  # at most 252 levels
+        if n > room:
+            break
+        least, room = k, room - n
+    if least == 1 << 62:
+        return {}
+    table = counted.filter(level >= F.lit(least)).toArrow()
+    own = [log10(c + 1) for c in table.column("c").to_pylist()]
+    return dict(zip(table.column("word").to_pylist(), own, strict=True))
+
+
+class Cells:
+    """Values of frequent grams in tables with one cell for each remainder of a gram."""
+
+    def __init__(self, known: DataFrame, sizes: tuple[int, ...]) -> None:
+        self.tables = []
+        for size in sizes:
+            best = staged(
+                known.groupBy((F.col("g") % size).alias("cell"))
+                .agg(F.max(F.struct("n", "g", "v")).alias("b"))
+                .select("b.g", "b.v")
             )
-
-    return dealt.mapInArrow(score, "word binary, c long, lp double")
-
-
-def score_texts(docs: DataFrame, head: int = HEAD, classes: int = CLASSES) -> DataFrame:
+            rows = best.toArrow()  # at most ``size`` rows
+            g, v = (rows.column(c).to_numpy() for c in ("g", "v"))
+            keys, values = np.full(size, -1, np.int64), np.zeros(size)
+            keys[g % size], values[g % size] = g, v
+            self.tables.append((keys, values))
+            known = known.join(best.select("g"), "g", "left_anti")
+
+    def of(self, g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The values of grams, and which of them are known."""
+        value, hit = np.zeros(len(g)), np.zeros(len(g), bool)
+        left = np.arange(len(g))
+        for keys, values in self.tables:
+            cell = g[left] % len(keys)
+            found = keys[cell] == g[left]
+            value[left[found]] = values[cell[found]]
+            hit[left[found]] = True
+            left = left[~found]
+        return value, hit
+
+
+def score_texts(docs: DataFrame, head: int = HEAD, cells: tuple[int, ...] = CELLS) -> DataFrame:
     """Code length of every document under the byte model and under a word model.
 
     Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score (word counts
     plus one) and score (the byte model's log10 chance of the text).  The training
     texts are all those that are not held out.  Counts grow with the corpus: at most
-    ``head`` of the most frequent words are sent to every task, the others meet their
-    documents in a join.
+    ``head`` of the most frequent words and a gram for each of ``cells`` are sent to every task, the others
+    meet their documents in joins.
 
     Null, empty and blank texts are the end sign alone.  Rows that repeat, or have no
-    doc_id, count and are scored each.  Without training texts bytes are equally
-    likely.  An empty table gives an empty result.  Words are at most DEPTH bytes deep
-    in the trie, so a very long one costs no more than its length.
+    doc_id, count and are scored each.  Ties between equally frequent grams go to the greater one,
+    and decide only which of them is sent.  A very long text is held once, with eight
+    bytes for each of its own.  Without training texts bytes are equally
+    likely.  Other columns are not read.  An empty table gives an empty result.
     """
     marked = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
-    centres, sizes = text_classes(marked.filter("NOT held_out"), classes)
-    named = np.log10((sizes + 1) / (sizes.sum() + len(sizes))).tolist()
-    counted = staged(count_words(marked, centres))
-    # the word model knows no classes
-    plain = counted.groupBy(F.expr("substring(word, 2)").alias("_w")).agg(F.sum("c").alias("_all"))
-    total = plain.agg(F.coalesce(F.sum("_all"), F.lit(0)), F.count(F.when(F.col("_all") > 0, 1))).first()
+    counted = staged(count_words(marked))
+    total = counted.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.when(F.col("c") > 0, 1))).first()
     train_tokens, distinct = total
-    own_words = word_scores(counted).withColumn("_w", F.expr("substring(word, 2)"))
-    scored = staged(own_words.join(plain, "_w").select("word", F.col("_all").alias("c"), "lp"))
-    # the smallest count (a power of two) that at most ``head`` words reach
-    level = F.floor(F.log2(F.col("c") + 1) * 4)
-    steps = scored.filter("c > 0").groupBy(level.alias("k")).agg(F.count("*").alias("n")).collect()
-    least, room = 1 << 62, head
-    for k, n in sorted(((r[0], r[1]) for r in steps), reverse=True):  # at most 252 levels
-        if n > room:
-            break
-        least, room = k, room - n
-    table = scored.filter(level >= F.lit(least)).toArrow() if least < 1 << 62 else None
-    frequent = {}
-    if table is not None:
-        words = table.column("word").to_pylist()
-        own = [log10(c + 1) for c in table.column("c").to_pylist()]
-        frequent = dict(zip(words, zip(own, table.column("lp").to_pylist(), strict=True), strict=True))
-    sent = docs.sparkSession.sparkContext.broadcast(frequent)  # ``head`` words at most
+    model = Model(staged(count_grams(marked.filter("NOT held_out"))))
+    known = staged(model.known())
+    # ``head`` words and ``cells`` grams at most
+    sent = docs.sparkSession.sparkContext.broadcast((frequent_words(counted, head), Cells(known, cells)))
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get = sent.value.get
+        frequent, table = sent.value
         row = TaskContext.get().partitionId() << 33
         for batch in sliced(batches):
+            texts = words_of(batch.column("text"))
+            ids, out = batch.column("doc_id").to_pylist(), batch.column("held_out").to_pylist()
+            g, owner = grams(texts)
+            value, hit = table.of(g)
+            lines = np.bincount(owner, value, len(texts)).tolist()
             sums: list[tuple] = []
             rest: list[tuple] = []
-            ids, out = batch.column("doc_id").to_pylist(), batch.column("held_out").to_pylist()
-            for doc, held, (k, words) in zip(ids, out, tokens(batch.column("text"), centres), strict=True):
-                base, lp = 0.0, named[k]
-                others = []
-                for w in words:
-                    found = get(w)
-                    if found is None:
-                        others.append(w)
-                    else:
-                        base += found[0]
-                        lp += found[1]
-                sums.append((row, doc, held, None, len(words), len(words) - len(others), base, lp))
-                rest += [(row, None, None, w, n, 0, 0.0, 0.0) for w, n in Counter(others).items()]
-                row += 1
-            columns = list(zip(*sums, *rest, strict=True))
-            types = [pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, types, strict=True)],
-                ["row", "doc_id", "held_out", "word", "n", "known", "base", "lp"],
-            )
+            for k, words in enumerate(texts):
+                words.append(END)
+                found = list(map(frequent.get, words))
+                others = found.count(None)
+                if others:
+                    rare = Counter(w for w, b in zip(words, found) if b is None)
+                    rest += [(row + k, None, None, w, None, n, 0, 0.0, 0.0) for w, n in rare.items()]
+                    found = [b for b in found if b is not None]
+                n = len(words)
+                sums.append((row + k, ids[k], out[k], None, None, n, n - others, sum(found), lines[k]))
+            columns = [pa.array(c, t) for c, t in zip(zip(*sums, *rest, strict=True), TYPES, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, NAMES)
+            # a text's place and a gram fit 63 bits
+            pairs, times = np.unique((owner[~hit] << 48) | g[~hit], return_counts=True)
+            if len(pairs):
+                none = [pa.nulls(len(pairs), t) for t in TYPES]
+                none[0] = pa.array(row + (pairs >> 48))
+                none[4], none[5] = pa.array(pairs & ((1 << 48) - 1)), pa.array(times)
+                yield pa.RecordBatch.from_arrays(none, NAMES)
+            row += len(texts)
 
-    schema = "row long, doc_id long, held_out boolean, word binary, n long, known long, base double, lp double"
     # written, as the numbers of the rows must not change
-    parts = staged(marked.mapInArrow(add_up, schema))
-    own = parts.filter("word IS NULL").select("row", "doc_id", "held_out", "n", "known", "base", "lp")
-    rare = scored.select("word", "c", F.col("lp").alias("_lp"))
-    others = (
+    parts = staged(marked.mapInArrow(add_up, SCHEMA))
+    own = parts.filter("word IS NULL AND g IS NULL").select("row", "doc_id", "held_out", "n", "known", "base", "lp")
+    words = (
         parts.filter("word IS NOT NULL")
         .select("row", "word", "n")
-        .join(rare, "word")
+        .join(counted, "word")
         .groupBy("row")
         .agg(
             F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("_known"),
             F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("_base"),
-            F.sum(F.col("n") * F.col("_lp")).alias("_plus"),
         )
     )
+    rare = parts.filter("g IS NOT NULL").select("row", "g", "n")
+    asked = staged(rare.select("g").distinct().join(known.select("g", "v"), "g", "left"))
+    values = asked.filter("v IS NOT NULL").union(model.unseen(asked.filter("v IS NULL").select("g")))
+    others = rare.join(values, "g").groupBy("row").agg(F.sum(F.col("n") * F.col("v")).alias("_plus"))
     zero = lambda c: F.coalesce(c, F.lit(0))
     each = log10(train_tokens + distinct + 1)
-    return own.join(others, "row", "left").select(
+    return own.join(words, "row", "left").join(others, "row", "left").select(
         "doc_id",
         "held_out",
         F.col("n").alias("n_tokens"),
@@ -467,3 +344,12 @@ def score_texts(docs: DataFrame, head: int = HEAD, classes: int = CLASSES) -> Da
         (F.col("base") + zero("_base") - F.col("n") * each).alias("base_score"),
         (F.col("lp") + zero("_plus")).alias("score"),
     )
+
+
+NAMES = ["row", "doc_id", "held_out", "word", "g", "n", "known", "base", "lp"]
+TYPES = [
+    pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(),
+]
+SCHEMA = (
+    "row long, doc_id long, held_out boolean, word binary, g long, n long, known long, base double, lp double"
+)
