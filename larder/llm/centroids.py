@@ -47,7 +47,9 @@ def subtree_sums(nodes: DataFrame, paths: DataFrame, values: list[str], limit: i
     tops = nodes.filter("parent IS NULL").selectExpr("node AS comp", "size AS total")
     single = nodes.filter("parent IS NULL").limit(2).collect()
     if len(single) == 1:
-        start = nodes.withColumn("comp", F.lit(single[0]["node"])).withColumn("total", F.lit(single[0]["size"]))
+        # no constant, as joins by a constant would have no key
+        comp = F.when(F.col("node").isNotNull(), F.lit(single[0]["node"]))
+        start = nodes.withColumn("comp", comp).withColumn("total", F.lit(single[0]["size"]))
     else:
         first = paths.filter("depth = 1").join(tops, F.col("node") == F.col("comp")).select("path", "comp", "total")
         start = nodes.join(first, "path")

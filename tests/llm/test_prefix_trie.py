@@ -106,3 +106,11 @@ def test_decomposition_of_forests(reach):
     moved = np.where(parent[shuffled] < 0, -1, place[parent[shuffled]])
     got = centroids.decompose(moved, depth[shuffled], wanted[shuffled, 1], own[shuffled], np.ones_like(own))
     assert got.tolist() == (wanted[shuffled] + 1).tolist()
+
+
+def test_no_join_is_without_a_key(spark):
+    ready(spark)
+    rows = [(c, t, "u", f"w{t} {c % 7}", "clash", 3) for c in range(200) for t in range(3)]
+    found = prefix_trie.prefix_trie(spark.createDataFrame(rows, SCHEMA), limit=20)
+    text = found._jdf.queryExecution().toString()
+    assert "NestedLoop" not in text and "Cartesian" not in text
