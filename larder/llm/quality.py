@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -116,11 +114,11 @@ def score_quality(
     return found.select("doc_id", "evidence", "host_rate", "path_rate", "score", "kept")
 
 
-def _scored(docs, labels, host=None, path=None, train_rows=TRAIN_ROWS) -> DataFrame:
-    """``score_quality`` with what else a score depends on: host, path and a hash of the text."""
+def _scored(docs, labels, host=None, path=None, train_rows=TRAIN_ROWS, carried=()) -> DataFrame:
+    """``score_quality`` beside the columns of ``docs`` that are to be ``carried``, as _own_ and their name."""
     sites = docs.select(
+        *[F.col(name).alias(f"_own_{name}") for name in carried],
         "doc_id",
-        F.xxhash64("text").alias("text_hash"),
         (F.col("source") if host is None else host).cast("string").alias("host"),
         (F.col("lang") if path is None else path).cast("string").alias("path"),
         "text",
@@ -154,7 +152,8 @@ def _scored(docs, labels, host=None, path=None, train_rows=TRAIN_ROWS) -> DataFr
         .withColumn("path_rate", safe(path_rate))
         .withColumn("score", 1 / (1 + F.exp(-(logit(F.col("path_rate")) + F.col("evidence")))))
         .select(
-            "doc_id", "text_hash", "host", "path", "evidence", "host_rate", "path_rate", "score",
+            *[f"_own_{name}" for name in carried],
+            "doc_id", "evidence", "host_rate", "path_rate", "score",
             (F.col("score") >= 0.5).alias("kept"),
         )
     )
@@ -198,11 +197,8 @@ def _judged(sites: DataFrame, labels: DataFrame, train_rows: int) -> DataFrame:
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the classifier keeps, with all their columns.
 
-    Each row is judged by its own text and site, whatever its doc_id.
+    Each row is judged by its own text and site, whatever its doc_id.  Rows carry their
+    columns through the scoring, so texts are written once and never shuffled.
     """
-    judged = ["doc_id", "text_hash", "host", "path"]
-    gone = staged(_scored(docs, labels).filter("NOT kept").select(*judged).distinct())
-    own = [F.col("doc_id"), F.xxhash64("text"), F.col("source").cast("string"), F.col("lang").cast("string")]
-    gone = gone.toDF(*[f"_gone_{name}" for name in judged])
-    same = [value.eqNullSafe(F.col(f"_gone_{name}")) for value, name in zip(own, judged, strict=True)]
-    return docs.join(gone, reduce(Column.__and__, same), "left_anti")
+    scored = _scored(docs, labels, carried=docs.columns)
+    return scored.filter("kept").select(*[F.col(f"_own_{name}").alias(name) for name in docs.columns])
