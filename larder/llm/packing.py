@@ -22,8 +22,6 @@ SIGNS = bytes(set(range(33, 127)) - set(b"0123456789") - set(range(65, 91)) - se
 PLAIN = "\u0180"  # letters before this one have one simple lower case
 END = 1  # id after each document
 GROUP = 8192  # pieces that one packing task works on, on average
-SWAP_ROUNDS = 4
-NEAREST = 48  # exchanges looked at for each bin
 
 
 class WordIds(dict):
@@ -123,100 +121,95 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFra
     )
 
 
-class Bins:
-    """Bins of one group with their items' lengths, and indexes to search them."""
-
-    def __init__(self, lengths: list[int], capacity: int) -> None:
-        self.capacity = capacity
-        self.length = lengths
-        self.items: dict[int, set[int]] = {}
-        self.fill: dict[int, int] = {}
-        self.bin: dict[int, int] = {}
-        order = sorted(range(len(lengths)), key=lambda i: -lengths[i])
-        open_bins: list[tuple[int, int]] = []  # (room, bin), sorted
-        for i in order:
-            need = lengths[i]
-            at = bisect_left(open_bins, (need, -1))
-            if at < len(open_bins):
-                room, b = open_bins.pop(at)
-            else:
-                room, b = capacity, len(self.items)
-                self.items[b], self.fill[b] = set(), 0
-            self.put(i, b)
-            if room > need:
-                insort(open_bins, (room - need, b))
-
-    def put(self, i: int, b: int) -> None:
-        if i in self.bin:
-            old = self.bin[i]
-            self.items[old].remove(i)
-            self.fill[old] -= self.length[i]
-        self.items[b].add(i)
-        self.fill[b] += self.length[i]
-        self.bin[i] = b
-
-    def drop_empty(self) -> None:
-        for b in [b for b, items in self.items.items() if not items]:
-            del self.items[b], self.fill[b]
-
-    def improve(self, rounds: int) -> None:
-        """Raise the sum of squared fills until no exchange helps or no bin can be saved.
-
-        The emptiest bin gives to the fuller ones: a move of one item into a bin with
-        room for it, an exchange of one of its items for a smaller one, or of two of
-        its items for one.  Each makes the fuller bin fuller, so the sum of squares
-        grows; bins that become empty go.
-        """
-        for _ in range(rounds):
-            total = sum(self.fill.values())
-            if len(self.fill) <= -(-total // self.capacity):
-                return  # no packing has fewer bins
-            under = sorted((b for b in self.fill if self.fill[b] < self.capacity), key=self.fill.get)
-            before = sum(f * f for f in self.fill.values())
-            for giver in under[: max(1, len(under) // 2)]:
-                if giver in self.fill and self.items[giver]:
-                    self.empty(giver, [b for b in reversed(under) if b != giver])
-            self.drop_empty()
-            if sum(f * f for f in self.fill.values()) == before:
-                return
-
-    def empty(self, giver: int, takers: list[int]) -> None:
-        for taker in takers[: 4 * NEAREST]:
-            if taker not in self.fill or self.fill[taker] < self.fill[giver]:
-                continue
-            room = self.capacity - self.fill[taker]
-            if not room or not self.items[giver]:
-                continue
-            mine = sorted(self.items[giver], key=lambda i: -self.length[i])[:NEAREST]
-            fits = next((i for i in mine if self.length[i] <= room), None)
-            if fits is not None:
-                self.put(fits, taker)
-                continue
-            theirs = sorted(self.items[taker], key=lambda i: -self.length[i])[:NEAREST]
-            best, swap = 0, None
-            for i in mine:
-                for j in theirs:
-                    gain = self.length[i] - self.length[j]
-                    if best < gain <= room:
-                        best, swap = gain, ((i,), j)
-            for a in range(len(mine)):
-                for b in range(a + 1, len(mine)):
-                    pair = self.length[mine[a]] + self.length[mine[b]]
-                    for j in theirs:
-                        if best < pair - self.length[j] <= room:
-                            best, swap = pair - self.length[j], ((mine[a], mine[b]), j)
-            if swap:
-                for i in swap[0]:
-                    self.put(i, taker)
-                self.put(swap[1], giver)
-
-
-def pack_lengths(lengths: list[int], capacity: int = CAPACITY, rounds: int = SWAP_ROUNDS) -> list[int]:
-    """The bin of each item: best fit decreasing, then swaps."""
-    bins = Bins(lengths, capacity)
-    bins.improve(rounds)
-    names = {b: n for n, b in enumerate(sorted(bins.items))}
-    return [names[bins.bin[i]] for i in range(len(lengths))]
+def best_fit(lengths: np.ndarray, capacity: int) -> np.ndarray:
+    """The bin of each item: longest first, each into the fullest bin that has room for it."""
+    bins = np.zeros(len(lengths), np.int64)
+    open_bins: list[tuple[int, int]] = []  # (room, bin), sorted
+    used = 0
+    for i in np.argsort(-lengths, kind="stable").tolist():
+        need = int(lengths[i])
+        at = bisect_left(open_bins, (need, -1))
+        if at < len(open_bins):
+            room, b = open_bins.pop(at)
+        else:
+            room, b = capacity, used
+            used += 1
+        bins[i] = b
+        if room > need:
+            insort(open_bins, (room - need, b))
+    return bins
+
+
+def offers(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What a bin can give, by total length: one item or two, as places (-1: no second).
+
+    Items of equal length are alike, so a bin has few different offers however many
+    items it holds: the lengths of k different items add up to over k * k / 2.
+    """
+    sizes, first, n = np.unique(lengths, return_index=True, return_counts=True)
+    a, b = np.triu_indices(len(sizes))
+    twin = np.append(np.argsort(lengths, kind="stable"), -1)[np.cumsum(n) - 1]
+    keep = (a != b) | (n[a] > 1)
+    a, b = a[keep], b[keep]
+    total = np.append(sizes, sizes[a] + sizes[b])
+    one = np.append(first, first[a])
+    two = np.append(np.full(len(sizes), -1), np.where(a == b, twin[b], first[b]))
+    total, at = np.unique(total, return_index=True)  # one item before two
+    return total, one[at], two[at]
+
+
+def improved(lengths: np.ndarray, bins: np.ndarray, capacity: int) -> np.ndarray:
+    """The bins after exchanges that raise the sum of squared fills, as long as any does.
+
+    The emptiest bin gives first: one or two of its items go to another underfull bin,
+    for one item of that bin or for none.  All its items, and all items of all
+    underfull bins, are looked at, and of the exchanges that fit, the one that raises
+    the sum most is made.  Bins become empty on the way.  The search ends when there
+    are no more bins than the items need, or when no bin has an exchange left.
+    """
+    bins = bins.copy()
+    fill = np.bincount(bins, lengths).astype(np.int64)
+    least = -(-int(lengths.sum()) // capacity)
+    changed = True
+    while changed:
+        changed = False
+        for giver in np.argsort(fill, kind="stable").tolist():
+            while 0 < fill[giver] < capacity:
+                if np.count_nonzero(fill) <= least:
+                    return bins
+                mine = np.flatnonzero(bins == giver)
+                total, one, two = offers(lengths[mine])
+                taken = np.flatnonzero(fill[bins] < capacity)  # for an item of these, or for none
+                taken = taken[bins[taken] != giver]
+                others = np.flatnonzero((fill > 0) & (fill < capacity))
+                others = others[others != giver]
+                back = np.append(lengths[taken], np.zeros(len(others), np.int64))
+                taker = np.append(bins[taken], others)
+                at = np.searchsorted(total, back + capacity - fill[taker], "right") - 1
+                gain = np.where(at >= 0, total[at] - back, 0)
+                raised = np.where(gain > 0, gain * (fill[taker] - fill[giver] + gain), 0)
+                if raised.max(initial=0) <= 0:
+                    break
+                best = int(raised.argmax())
+                to, offer = taker[best], at[best]
+                bins[mine[one[offer]]] = to
+                if two[offer] >= 0:
+                    bins[mine[two[offer]]] = to
+                if best < len(taken):
+                    bins[taken[best]] = giver
+                fill[to] += gain[best]
+                fill[giver] -= gain[best]
+                changed = True
+    return bins
+
+
+def pack_lengths(lengths: list[int], capacity: int = CAPACITY, swaps: bool = True) -> list[int]:
+    """The bin of each item: best fit decreasing, then exchanges."""
+    sizes = np.array(lengths, np.int64)
+    bins = best_fit(sizes, capacity)
+    if swaps and len(bins):
+        bins = improved(sizes, bins, capacity)
+    return np.unique(bins, return_inverse=True)[1].tolist()
 
 
 def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, group: int = GROUP) -> DataFrame:
@@ -226,7 +219,8 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, group: int =
     Documents are tokenised whole, end with id 1, and only longer ones are cut.  Full
     pieces are sequences of their own; the others are dealt by a hash into groups of
     about ``group`` pieces, each packed by one task, which loses part of a sequence
-    for each group and nothing else.
+    for each group and nothing else.  Ties go by doc_id and piece.  A very long text is
+    tokenised by one task, one text at a time.
 
     Null and empty texts have one piece, the end id.  Rows that repeat a doc_id, or
     have none, are packed like any other and keep their doc_id.  An empty table gives

@@ -1,6 +1,7 @@
 """Every text operator on awkward rows, and against brute force on small ones."""
 
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -276,11 +277,46 @@ def test_swaps_save_bins():
         lengths = [rng.choice([60, 45, 40, 35, 30, 25, 20, 15]) for _ in range(60)]
         used = packing.pack_lengths(lengths, 100)
         fill = np.bincount(used, lengths)
-        plain = np.bincount(packing.pack_lengths(lengths, 100, rounds=0), lengths)
+        plain = np.bincount(packing.pack_lengths(lengths, 100, swaps=False), lengths)
         assert fill.max() <= 100 and fill.sum() == sum(lengths)
         assert len(fill) <= len(plain) and (fill**2).sum() >= (plain**2).sum()
 
 
+def helps(groups, capacity):
+    """Is there an exchange of one or two items for one or none that raises the squares?"""
+    fills = [sum(g) for g in groups]
+    for g, mine in enumerate(groups):
+        given = [*mine, *(a + b for a, b in itertools.combinations(mine, 2))]
+        for t, theirs in enumerate(groups):
+            for a, j in itertools.product(given, [0, *theirs]):
+                if t != g and 0 < a - j <= capacity - fills[t] and fills[t] + a - j > fills[g]:
+                    return True
+    return False
+
+
+@pytest.mark.parametrize("lengths", [[60, 45, 40, 35, 30, 25, 20, 15], [70, 55, 52, 3, 2], range(1, 100)])
+def test_no_exchange_is_left(lengths):
+    rng = random.Random(3)
+    for n in (1, 2, 25, 40):
+        items = [rng.choice(lengths) for _ in range(n)]
+        used = packing.pack_lengths(items, 100)
+        groups = [[x for x, b in zip(items, used, strict=True) if b == k] for k in range(max(used) + 1)]
+        assert len(groups) == -(-sum(items) // 100) or not helps(groups, 100)
+
+
+def test_bins_of_very_many_short_items_are_emptied():
+    """The short items, not the longest ones of their bin, fill the others."""
+    lengths = np.array([4094] * 30 + [2] * 30 + [1] * 3000 + [10] * 60)
+    bins = np.append(np.arange(30), np.full(3090, 30))
+    fill = np.bincount(packing.improved(lengths, bins, 4096), lengths)
+    assert np.count_nonzero(fill) == -(-lengths.sum() // 4096) == 31
+    # one bin more than needed, which has nothing but items that two others have room for
+    lengths = np.array([3000, 3000] + [1] * 2100)
+    bins = np.array([0, 1] + [2] * 2100)
+    fill = np.bincount(packing.improved(lengths, bins, 4096), lengths, 3)
+    assert np.count_nonzero(fill) == 2 and fill.max() <= 4096
+
+
 def test_words_have_the_tokenizers_ids():
     known = packing.WordIds(word_bpe())
     for text in ["it's don't foo's, THE!! a%%% é ﬁn ǅx Σίσυφος. 12a3!!,, 中文，字. \x1c b\x1cc c　d ͅx."]:
