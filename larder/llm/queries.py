@@ -126,6 +126,10 @@ def _crc32(octets: str) -> str:
     )
 
 
+# the bytes of a document, as a list of numbers
+_OCTETS = """list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'),
+                 lambda h: CAST(concat('0x', h) AS BIGINT))"""
+
 # words of a document, as a list
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^ \t\n\v\f\r]+')"
 
@@ -172,6 +176,26 @@ ORACLES = {
         )
         SELECT doc_id, item_id, n_shared, n_item, n_shared / n_item AS containment
         FROM m JOIN n USING (item_id) WHERE n_shared / n_item >= 0.8""",
+    # shards by running bytes: the same sums as windows over the whole table
+    "op4_shards": rf"""
+        WITH crcs AS ({_CRC_TABLE}),
+        d AS (
+          SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 1 AS size,
+                 {_crc32(_OCTETS)} AS crc
+          FROM documents CROSS JOIN crcs
+        ),
+        r AS (
+          SELECT *, sum(size) OVER (ORDER BY doc_id NULLS FIRST, size, crc ROWS UNBOUNDED PRECEDING) AS upto,
+                 sum(size) OVER () AS total
+          FROM d
+        ),
+        s AS (
+          SELECT *, CAST(least(floor((upto - size / 2) * 8 / total), 7) AS INTEGER) AS shard FROM r
+        )
+        SELECT doc_id, size, crc AS text_crc32, 'bytes' AS law, shard,
+               row_number() OVER (PARTITION BY shard ORDER BY upto) - 1 AS slot,
+               CAST(NULL AS INTEGER) AS grown_shard
+        FROM s""",
     "op13_prefix_trie": rf"""
         WITH crcs AS ({_CRC_TABLE}),
         t AS (

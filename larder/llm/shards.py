@@ -22,7 +22,8 @@ def shard_by_bytes(docs: DataFrame, shards: int = 8) -> DataFrame:
 
     Null text counts as empty (size 1, checksum 0).  Rows without a doc_id come
     first; rows that repeat a doc_id are rows of their own, ordered by size and
-    checksum.  Equal texts have equal sizes and checksums and are not kept together.
+    checksum (rows equal in all three are alike).  Very long texts are rows like any
+    other; one that exceeds a target leaves shards empty.  Equal texts have equal sizes and checksums and are not kept together.
     An empty table gives an empty result.
     """
     narrow = docs.select(
