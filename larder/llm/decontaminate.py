@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
@@ -125,8 +126,8 @@ def _found(docs, benchmark, shingle, contained, block_bytes) -> DataFrame:
     for block in blocks(benchmark, block_bytes):
         sent = docs.sparkSession.sparkContext.broadcast(block)  # block_bytes at most
 
-        def search(batch: pa.RecordBatch, sent=sent) -> pa.RecordBatch:
-            index, hashes = _index(sent, shingle, contained)
+        def search(batch: pa.RecordBatch, sent=sent, name=uuid4().hex) -> pa.RecordBatch:
+            index, hashes = _index(name, sent, shingle, contained)
             rows: list[tuple] = []
             texts = pc.cast(pc.fill_null(batch.column("text"), ""), pa.large_binary())
             for doc, text in zip(batch.column("doc_id").to_pylist(), texts.to_pylist(), strict=True):
@@ -145,9 +146,9 @@ def _found(docs, benchmark, shingle, contained, block_bytes) -> DataFrame:
 _indexes: dict[tuple, tuple[Sketches, WordHashes]] = {}
 
 
-def _index(sent, shingle: int, contained: float) -> tuple[Sketches, WordHashes]:
-    """The sketches of a block, built once in each Python worker."""
-    key = (id(sent.value), shingle, contained)
+def _index(name: str, sent, shingle: int, contained: float) -> tuple[Sketches, WordHashes]:
+    """The sketches of the block of this name, built once in each Python worker."""
+    key = (name, shingle, contained)
     if key not in _indexes:
         _indexes.clear()
         _indexes[key] = (Sketches(sent.value, shingle, contained), WordHashes())
@@ -186,8 +187,8 @@ def without_benchmark(
     for block in blocks(benchmark, block_bytes):
         sent = docs.sparkSession.sparkContext.broadcast(block)  # block_bytes at most
 
-        def clean(batch: pa.RecordBatch, sent=sent) -> pa.RecordBatch:
-            index, hashes = _index(sent, shingle, contained)
+        def clean(batch: pa.RecordBatch, sent=sent, name=uuid4().hex) -> pa.RecordBatch:
+            index, hashes = _index(name, sent, shingle, contained)
             keep = []
             for text in pc.cast(pc.fill_null(batch.column("text"), ""), pa.large_binary()).to_pylist():
                 words = lower_words(text)

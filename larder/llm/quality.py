@@ -105,7 +105,7 @@ def score_quality(
     of the groups.  The score is the path's rate moved by the evidence; documents
     with a score of at least a half are kept.
 
-    Null, empty and blank texts have features of their own.  Documents without host
+    Very long texts have shares of all their bytes.  Null, empty and blank texts have features of their own.  Documents without host
     or path share a group.  Every row has its result, also rows that repeat or have
     no doc_id.  Without labels of both kinds the evidence is zero and all documents
     are kept.  An empty table gives an empty result.

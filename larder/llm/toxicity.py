@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
@@ -55,16 +56,15 @@ class Known(dict):
         return np.unique(np.frombuffer(b"".join(map(self.__getitem__, words)), np.int32))
 
 
-_known: dict[int, Known] = {}
+_known: dict[str, Known] = {}
 
 
-def known(sent) -> Known:
-    """The word memory of this Python worker for a broadcast list of n-grams."""
-    key = id(sent.value)
-    if key not in _known:
+def known(name: str, sent) -> Known:
+    """The word memory of this Python worker for the broadcast list of n-grams of this name."""
+    if name not in _known:
         _known.clear()
-        _known[key] = Known({g: i for i, g in enumerate(sent.value)})
-    return _known[key]
+        _known[name] = Known({g: i for i, g in enumerate(sent.value)})
+    return _known[name]
 
 
 def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,10 +113,10 @@ def score_toxicity(
 
     Learns from at most ``train_rows`` labelled documents that are not held out,
     chosen by a hash of doc_id: in how many texts of either class each n-gram is, the
-    log ratio of these (smoothed) counts, and a logistic regression on the ``kept``
+    log ratio of these (smoothed) counts (ties in clearness: the smaller n-gram), and a logistic regression on the ``kept``
     n-grams that differ most, each scaled by its ratio.  Only texts enter a score.
 
-    Null, empty and blank texts have no n-grams and the score of the constant.  Rows
+    Very long texts count each n-gram once.  Null, empty and blank texts have no n-grams and the score of the constant.  Rows
     that repeat, or have no doc_id, each have a result.  Without labels of both kinds
     all scores are the share of toxic labels, or zero without any.  An empty table
     gives an empty result.
@@ -155,10 +155,10 @@ def score_toxicity(
     behind = np.array([r["clean"] for r in table]) + SMOOTH
     ratio = np.log(ahead / (toxic + 2 * SMOOTH)) - np.log(behind / (clean + 2 * SMOOTH))
     context = docs.sparkSession.sparkContext
-    sent = context.broadcast(names)  # ``kept`` n-grams
+    sent, name = context.broadcast(names), uuid4().hex  # ``kept`` n-grams
 
     def present(batch: pa.RecordBatch) -> pa.RecordBatch:
-        memory = known(sent)
+        memory = known(name, sent)
         rows = [memory.of(w).tolist() for w in words_in(batch.column("text"))]
         return pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(rows, pa.list_(pa.int32()))], ["toxic", "x"])
 
@@ -167,7 +167,7 @@ def score_toxicity(
     weights, constant = fit(x, rows.column("toxic").to_numpy().astype(float), ratio)
 
     def score(batch: pa.RecordBatch) -> pa.RecordBatch:
-        memory = known(sent)
+        memory = known(name, sent)
         line = np.array([weights[memory.of(w)].sum() + constant for w in words_in(batch.column("text"))])
         s = 1 / (1 + np.exp(-np.clip(line, -500, 500)))
         return pa.RecordBatch.from_arrays(
