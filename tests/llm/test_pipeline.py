@@ -1,9 +1,11 @@
 """The pipeline's stages, each on what the one before kept."""
 
 import corpus_pipeline as pipeline
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from larder.llm import decontaminate, quality
+from larder.llm import decontaminate, quality, similar
 from larder.sources.workspace import staged
 
 FOLDER = "/root/testdata/sf0.001"
@@ -27,6 +29,38 @@ def smallest_of_groups(docs):
     return smallest
 
 
+def joined(n, links):
+    """The smallest member of each one's component."""
+    least = list(range(n))
+    for _ in range(n):
+        for x, y in links:
+            least[x] = least[y] = min(least[x], least[y])
+    return least
+
+
+@pytest.mark.parametrize("limit", [0.5, 0.8, 1.0])
+def test_walk_of_a_group(limit):
+    """Links found through rare shingles connect what all similar pairs connect."""
+    chance = np.random.default_rng(7)
+    for _ in range(60):
+        common = chance.integers(0, 60, (3, 30)).astype(np.uint64)
+        sets = []
+        for _ in range(chance.integers(1, 20)):
+            x = common[chance.integers(3)][: chance.integers(1, 30)].copy()
+            x[chance.integers(0, len(x), chance.integers(0, 4))] = chance.integers(0, 200)
+            sets.append(np.unique(x))
+        whole = [set(x.tolist()) for x in sets]
+        close = [
+            (i, j)
+            for i in range(len(sets))
+            for j in range(i)
+            if len(whole[i] & whole[j]) >= limit * len(whole[i] | whole[j]) - 1e-9
+        ]
+        a, b = similar.walked(sets, limit)
+        assert joined(len(sets), list(zip(a.tolist(), b.tolist(), strict=True))) == joined(len(sets), close)
+        assert len(a) < len(sets)
+
+
 def test_stages(spark):
     docs = pipeline.documents(spark, FOLDER)
     columns = docs.columns
