@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from larder import functions as fn
 from larder import tables
-from larder.operators.joins import SALT, Size, find_hot_keys, lookup_join, spread_join
+from larder.operators.joins import SALT, Size, find_hot_keys, lookup_join, most_rows, spread_join
 from larder.tables import TableSpec
 
 NULL_SHARES = 256  # parts of the lines that name no order
@@ -140,6 +140,7 @@ def grouped_lines(
     they are merged before the join.  ``rows``: the number of lines, if it is known.
     """
     spec = tables.MERGED_LINES
+    rows = most_rows(lines) if rows is None else rows
     hot_orders = find_hot_keys(lines, "order_id", rows=rows)
     copies = hot_orders is not None and find_hot_keys(lines, *spec.key, rows=rows) is not None
     counted = (
@@ -155,6 +156,7 @@ def grouped_lines(
         hot=hot_orders,
         how="left",
         null_shares=NULL_SHARES,
+        rows=rows,
     )
     return (
         placed.groupBy("order_id", SALT, "product_id", "add_to_cart_order", "known")
@@ -190,7 +192,8 @@ def clean_order_products(
     lines move over the network once.
     """
     spec = tables.MERGED_LINES
-    hot_orders = find_hot_keys(lines, "order_id")
+    rows = most_rows(lines)
+    hot_orders = find_hot_keys(lines, "order_id", rows=rows)
     known = lookup_join(
         mergeable_lines(lines, hot_orders),
         products.select("product_id"),
@@ -198,6 +201,7 @@ def clean_order_products(
         spread_by=["order_id", "add_to_cart_order"],
         how="left_semi",
         counted=lines,
+        rows=rows,
     )
     placed = spread_join(
         known,
@@ -206,6 +210,7 @@ def clean_order_products(
         spread_by=["product_id", "add_to_cart_order"],
         hot=hot_orders,
         how="left_semi",
+        rows=rows,
     )
     once = one_per_key(
         placed, ["order_id", SALT, "product_id", "add_to_cart_order"], spec.rank

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,6 +18,11 @@ from larder.sources.workspace import staged
 HOT_ROWS = 1_000_000
 HOT_KEYS = 4
 
+# A task of a shuffled join takes about this many rows of the large side.  Spark alone puts
+# partitions together by their compressed size, and rows that compress well then fill one
+# task with many times the memory that small or plain tables suggest.
+TASK_ROWS = 1_000_000
+
 # A lookup side within both limits is sent to every executor.
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 32 << 20
@@ -79,20 +84,31 @@ def hot_keys(df: DataFrame, *key: str, hot_rows: int | None = None) -> DataFrame
     )
 
 
+def most_rows(df: DataFrame) -> int:
+    """Rows that ``df`` has at most, read from file footers where the plan allows it, else counted."""
+    rows = row_bound(df)
+    return df.count() if rows is None else rows
+
+
+def tasks_for(spark: SparkSession, rows: int) -> int | None:
+    """Into how many tasks a shuffle of so many rows goes; None where Spark's own number will do."""
+    if rows <= TASK_ROWS:
+        return None
+    return max(-(-rows // TASK_ROWS), spark.sparkContext.defaultParallelism)
+
+
 def find_hot_keys(df: DataFrame, *key: str, rows: int | None = None) -> DataFrame | None:
     """The hot keys of ``df``, written down, or None.
 
-    The number of rows is ``rows`` if the caller knows it, else it is read from file
-    footers where the plan allows it, else counted.  A
+    The number of rows is ``rows`` if the caller knows it, else that of ``most_rows``.  A
     table smaller than one hot key is not looked at any further, so no job is started
     for it.  Written down, so
     that whoever uses them goes by the same list, whatever is recomputed later.
     """
     if rows is None:
-        rows = row_bound(df)
-    if rows is None:
-        rows = df.count()
+        rows = most_rows(df)
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    partitions = max(partitions, tasks_for(df.sparkSession, rows) or 0)
     limit = max(HOT_ROWS, rows // (HOT_KEYS * partitions))
     if rows < 0.9 * limit:
         return None
@@ -108,6 +124,7 @@ def spread_join(
     hot: DataFrame | None,
     how: str = "inner",
     null_shares: int = 1,
+    rows: int | None = None,
 ) -> DataFrame:
     """Equi-join that stays balanced when a few keys hold most of the rows.
 
@@ -122,14 +139,18 @@ def spread_join(
     The share number stays in the result as ``_salt``: with it in their keys,
     later groupings can go on from the partitioning this join leaves behind.
     Rows without a key, which an outer join keeps, have ``null_shares`` shares.
+
+    ``rows`` is the number of rows of the large side, if the caller knows it.  More than
+    ``TASK_ROWS`` are dealt to a number of tasks that grows with them, so that a task
+    holds no more of a larger table.
     """
     lone = F.when(F.col(key).isNull(), F.lit(null_shares))
     if hot is None and null_shares == 1:
-        return large.withColumn(SALT, F.lit(0)).join(lookup, key, how)
+        return _dealt_join(large.withColumn(SALT, F.lit(0)), lookup, [key], how, rows)
     if hot is None:
         hashed = F.pmod(F.xxhash64(*spread_by), F.coalesce(lone, F.lit(1))).cast("int")
         once = lookup.withColumn(SALT, F.lit(0))
-        return large.withColumn(SALT, hashed).join(once, [key, SALT], how)
+        return _dealt_join(large.withColumn(SALT, hashed), once, [key, SALT], how, rows)
     hot = F.broadcast(hot)
     shares = F.coalesce("_shares", F.lit(1))
     salted = large.join(hot, key, "left").withColumn(
@@ -138,7 +159,28 @@ def spread_join(
     repeated = lookup.join(hot, key, "left").withColumn(
         SALT, F.explode(F.sequence(F.lit(0), shares - 1))
     )
-    return salted.drop("_shares").join(repeated.drop("_shares"), [key, SALT], how)
+    return _dealt_join(salted.drop("_shares"), repeated.drop("_shares"), [key, SALT], how, rows)
+
+
+def _broadcast_by_spark(lookup: DataFrame) -> bool:
+    """Whether Spark's own estimate lets it send the lookup side to every executor."""
+    conf = lookup.sparkSession._jsparkSession.sessionState().conf()
+    stats = lookup._jdf.queryExecution().optimizedPlan().stats()
+    return stats.sizeInBytes() <= conf.autoBroadcastJoinThreshold()
+
+
+def _dealt_join(
+    large: DataFrame, lookup: DataFrame, keys: list[str], how: str, rows: int | None
+) -> DataFrame:
+    """A join whose number of tasks follows the rows of the large side, if it moves them at all."""
+    tasks = None if rows is None else tasks_for(large.sparkSession, rows)
+    if tasks is None or _broadcast_by_spark(lookup):
+        return large.join(lookup, keys, how)
+    if how == "left_semi":
+        # as an inner join: Spark would move a semi join below the exchange and a union,
+        # into joins of their own for each part, which share a task
+        lookup, how = lookup.select(*keys).distinct(), "inner"
+    return large.repartition(tasks, *keys).join(lookup.repartition(tasks, *keys), keys, how)
 
 
 def lookup_join(
@@ -160,5 +202,7 @@ def lookup_join(
     small = fits_broadcast(lookup) if size is None else size.fits_broadcast(len(lookup.columns))
     if small:
         return large.join(F.broadcast(lookup), key, how)
-    hot = find_hot_keys(large if counted is None else counted, key, rows=rows)
-    return spread_join(large, lookup, key, spread_by, hot, how).drop(SALT)
+    counted = large if counted is None else counted
+    rows = most_rows(counted) if rows is None else rows
+    hot = find_hot_keys(counted, key, rows=rows)
+    return spread_join(large, lookup, key, spread_by, hot, how, rows=rows).drop(SALT)

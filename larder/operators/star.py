@@ -13,6 +13,7 @@ from larder.operators.joins import (
     Size,
     find_hot_keys,
     lookup_join,
+    most_rows,
     spread_join,
 )
 from larder.sources.footers import row_bound
@@ -49,12 +50,14 @@ def retail_transactions(
     ``size`` bounds the products with their names and ``rows`` is the number of lines,
     where the caller knows them.
     """
+    rows = most_rows(lines) if rows is None else rows
     in_order = spread_join(
         lines,
         orders.select(*ORDER_CONTEXT),
         "order_id",
         spread_by=["product_id", "add_to_cart_order"],
         hot=find_hot_keys(lines, "order_id", rows=rows),
+        rows=rows,
     )
     size = size or size_with_names(products, aisles, departments)
     return _with_products(in_order, products, aisles, departments, lines, size, rows)
@@ -73,13 +76,15 @@ def transactions_from_raw(
     separate reference checks are left out, and duplicates are removed inside
     the partitions of the order join instead of after a shuffle of their own.
     """
-    hot_orders = find_hot_keys(lines, "order_id")
+    rows = most_rows(lines)
+    hot_orders = find_hot_keys(lines, "order_id", rows=rows)
     in_order = spread_join(
         cleaning.mergeable_lines(lines, hot_orders),
         cleaning.clean_orders(orders, columns=ORDER_CONTEXT),
         "order_id",
         spread_by=["product_id", "add_to_cart_order"],
         hot=hot_orders,
+        rows=rows,
     )
     context = [name for name in ORDER_CONTEXT if name != "order_id"]
     once = in_order.groupBy(
@@ -92,6 +97,7 @@ def transactions_from_raw(
         cleaning.clean_departments(departments),
         counted=lines,
         size=size_with_names(products, aisles, departments),
+        rows=rows,
     )
 
 

@@ -48,6 +48,33 @@ def test_spread_join_equals_a_plain_join(skewed, how, hot_rows, monkeypatch):
     assert values(joined, *plain.columns) == values(plain, *plain.columns)
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+@pytest.mark.parametrize("hot_rows", [50, 1_000_000])
+@pytest.mark.parametrize("null_shares", [1, 4])
+def test_tasks_of_a_join_follow_the_rows(spark, skewed, how, hot_rows, null_shares, monkeypatch):
+    """However well rows compress, a task takes no more than its number of them."""
+    monkeypatch.setattr(joins, "HOT_ROWS", hot_rows)
+    rows, lookup = skewed
+    rows = rows.union(spark.range(40).selectExpr("CAST(NULL AS BIGINT) AS k", "id AS v"))
+    hot = joins.find_hot_keys(rows, "k")
+    plain = rows.join(lookup, "k", how)
+    expected = sorted(map(str, plain.collect()))
+    monkeypatch.setattr(joins, "TASK_ROWS", 100)
+    assert joins.tasks_for(spark, 100) is None
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        joined = joins.spread_join(
+            rows, lookup, "k", ["v"], hot, how, null_shares=null_shares, rows=rows.count()
+        )
+        text = joined._jdf.queryExecution().executedPlan().toString()
+        assert text.count("SortMergeJoin") == 1 or how == "left_anti"  # not one for each part of the union
+        assert text.count(", 31), REPARTITION_BY_NUM") == 2 or how == "left_anti"
+        assert sorted(map(str, joined.select(*plain.columns).collect())) == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 def test_hot_keys_are_bounded_by_partitions(spark, monkeypatch):
     """However many keys are large, few are hot, since the limit follows the table."""
     monkeypatch.setattr(joins, "HOT_ROWS", 50)
