@@ -21,7 +21,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five words, 0.8) the document of smallest id stays."""
+    """Operator 5, decided by whole sets: of near copies (five words, 0.8) the smallest id stays."""
     ready(spark)
     return similar.one_of_each(docs)
 

@@ -1,7 +1,8 @@
-"""Near-dedup of the pipeline: five-word shingles, MinHash bands, exact similarity.
+"""Near-dedup of the pipeline: operator 5 over five-word shingles, bands, exact similarity.
 
-Operator 5 groups what 64-bit fingerprints can tell; here documents are linked whose
-sets of shingles are similar.  Bands only propose who is compared with whom.
+Documents are linked whose sets of shingles are similar.  Operator 5 proposes all whose
+fingerprints differ in few bits; MinHash bands propose the rest, as 64-bit fingerprints of
+similar sets often differ in more.  Proposals only say who is compared with whom.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 
 from larder.llm.common import BASE, WordHashes, by_batch, group_starts, mixed, rolling, sorted_groups
 from larder.llm.links import components
+from larder.llm.near import close_links, shingle_fingerprints
 from larder.sources.workspace import staged
 
 SHINGLE = 5
@@ -59,6 +61,22 @@ def texts_of(batch: pa.RecordBatch) -> list[bytes]:
     return pc.cast(pc.fill_null(batch.column("text"), ""), pa.large_binary()).to_pylist()
 
 
+def fingerprint_links(named: DataFrame, shingle: int = SHINGLE, radius: int = 4) -> DataFrame:
+    """Operator 5 over sets: links (a, b) that join all sets within ``radius`` bits."""
+
+    def with_sid(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in batches:
+            sid = [set_id(shingle_set(t, hashes, shingle)) for t in texts_of(batch)]
+            yield pa.RecordBatch.from_arrays([pa.array(sid, pa.int64()), batch.column("text")], ["doc_id", "text"])
+
+    sets = named.mapInArrow(with_sid, "doc_id long, text string")
+    prints = staged(shingle_fingerprints(sets, shingle).withColumnRenamed("doc_id", "sid").distinct())
+    nodes = staged(prints.groupBy("fp").agg(F.min("sid").alias("node")))
+    equal = prints.join(nodes, "fp").filter("sid <> node").selectExpr("sid AS a", "node AS b")
+    return equal.union(close_links(nodes, radius))
+
+
 def linked(batches: Iterator[pa.RecordBatch], similar: float) -> Iterator[pa.RecordBatch]:
     """A spanning forest of the links within each group of a partition sorted by group."""
     for table in sorted_groups(batches, ["component"]):
@@ -133,9 +151,9 @@ def similar_components(docs: DataFrame, shingle: int = SHINGLE, similar: float =
     ``similar`` at least; component_id is the smallest doc_id that can be reached,
     itself included.
 
-    Documents of equal sets are one node from the start.  Nodes with a common band are
-    put in one group, and within groups links are decided by whole sets of 64-bit
-    shingle hashes, which only members of a group send.
+    Documents of equal sets are one node from the start.  Nodes that operator 5 links or that
+    have a common band are put in one group, and within groups links are decided by whole
+    sets of 64-bit shingle hashes, which only members of a group send.
 
     Null, empty and blank texts are copies of each other.  A doc_id with several texts
     joins what they are linked to.  Rows without a doc_id are left out.  An empty
@@ -173,7 +191,8 @@ def similar_components(docs: DataFrame, shingle: int = SHINGLE, similar: float =
         proposed.groupBy("key").agg(F.min("sid").alias("low"), F.max("sid").alias("high")).filter("low < high")
     )
     pairs = proposed.join(lowest.select("key", "low"), "key").filter("sid <> low")
-    groups = staged(components(staged(pairs.selectExpr("sid AS a", "low AS b").distinct())))
+    proposals = pairs.selectExpr("sid AS a", "low AS b").union(fingerprint_links(named, shingle))
+    groups = staged(components(staged(proposals.distinct())))
     members = groups.withColumnRenamed("node", "sid").join(nodes, "sid")
 
     def sets_of(batch: pa.RecordBatch) -> pa.RecordBatch:

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from larder.llm import decontaminate, quality, similar
+from larder.llm.near import shingle_fingerprints
 from larder.sources.workspace import staged
 
 FOLDER = "/root/testdata/sf0.001"
@@ -61,6 +62,35 @@ def test_walk_of_a_group(limit):
         assert len(a) < len(sets)
 
 
+def test_near_dedup_goes_through_operator_5(spark, monkeypatch):
+    """Its proposals connect exactly the sets whose fingerprints are connected by 4 bits."""
+    calls = []
+
+    def proposed(*args):
+        calls.append(staged(near_links(*args)))
+        return calls[-1]
+
+    near_links = similar.fingerprint_links
+    monkeypatch.setattr(similar, "fingerprint_links", proposed)
+    docs = pipeline.documents(spark, FOLDER).limit(150)
+    again = docs.selectExpr("doc_id + 1000 AS doc_id", "concat(text, ' again') AS text")
+    blank = spark.createDataFrame([(5000, None), (5001, " ")], "doc_id long, text string")
+    docs = staged(docs.select("doc_id", "text").union(again).union(blank))
+    pipeline.near_dedup(spark, docs, FOLDER).count()
+    assert len(calls) == 1
+    links = [(r["a"], r["b"]) for r in calls[0].collect()]
+    hashes = similar.WordHashes()
+    sid = {
+        r["doc_id"]: similar.set_id(similar.shingle_set((r["text"] or "").encode(), hashes, 5))
+        for r in docs.collect()
+    }
+    fps = {sid[r["doc_id"]]: r["fp"] & (1 << 64) - 1 for r in shingle_fingerprints(docs, 5).collect()}
+    place = {x: i for i, x in enumerate(sorted(fps))}
+    close = [(place[x], place[y]) for x in fps for y in fps if (fps[x] ^ fps[y]).bit_count() <= 4]
+    assert len(close) > len(fps)
+    assert joined(len(fps), [(place[x], place[y]) for x, y in links]) == joined(len(fps), close)
+
+
 def test_stages(spark):
     docs = pipeline.documents(spark, FOLDER)
     columns = docs.columns
