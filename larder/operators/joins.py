@@ -162,11 +162,21 @@ def spread_join(
     return _dealt_join(salted.drop("_shares"), repeated.drop("_shares"), [key, SALT], how, rows)
 
 
-def _broadcast_by_spark(lookup: DataFrame) -> bool:
-    """Whether Spark's own estimate lets it send the lookup side to every executor."""
-    conf = lookup.sparkSession._jsparkSession.sessionState().conf()
+def _broadcast_for_sure(lookup: DataFrame) -> bool:
+    """Whether Spark sends the lookup side to every executor whatever it finds out when it runs.
+
+    Spark's estimate goes by compressed files and plans a broadcast; adaptive execution then
+    measures the rows, and where they are too many it shuffles both sides into its own
+    number of tasks.  So the rows decide, and the estimate only if they are few.
+    """
+    texts = any(isinstance(f.dataType, T.StringType) for f in lookup.schema.fields)
+    rows = None if texts else row_bound(lookup)
+    if rows is None:
+        return False
+    limit = lookup.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
     stats = lookup._jdf.queryExecution().optimizedPlan().stats()
-    return stats.sizeInBytes() <= conf.autoBroadcastJoinThreshold()
+    fits = Size(rows).fits_broadcast(len(lookup.columns), max_bytes=limit)
+    return fits and stats.sizeInBytes() <= limit
 
 
 def _dealt_join(
@@ -174,7 +184,7 @@ def _dealt_join(
 ) -> DataFrame:
     """A join whose number of tasks follows the rows of the large side, if it moves them at all."""
     tasks = None if rows is None else tasks_for(large.sparkSession, rows)
-    if tasks is None or _broadcast_by_spark(lookup):
+    if tasks is None or _broadcast_for_sure(lookup):
         return large.join(lookup, keys, how)
     if how == "left_semi":
         # as an inner join: Spark would move a semi join below the exchange and a union,

@@ -75,6 +75,32 @@ def test_tasks_of_a_join_follow_the_rows(spark, skewed, how, hot_rows, null_shar
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
+def test_rows_decide_whether_a_join_is_dealt(spark, tmp_path, monkeypatch):
+    """A lookup that is small only as a compressed file does not keep Spark's number of tasks."""
+    monkeypatch.setattr(joins, "TASK_ROWS", 1000)
+    path = str(tmp_path / "lookup")
+    spark.range(0, 20_000, 1, 1).selectExpr("id AS k", "7L AS w", "'a' AS name").write.parquet(path)
+    numbers, texts = spark.read.parquet(path).select("k", "w"), spark.read.parquet(path)
+    few = spark.read.parquet(path).select("k", "w").filter("k < 10")
+    rows = spark.range(30_000).selectExpr("id % 25000 AS k", "id AS v")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "300000")
+        for lookup in (numbers, texts, few):  # the file bounds the rows, not the filter
+            estimate = lookup._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+            assert estimate <= 300_000 < 20_000 * 24
+            joined = joins.spread_join(rows, lookup, "k", ["v"], None, rows=30_000)
+            text = joined._jdf.queryExecution().executedPlan().toString()
+            assert text.count(", 30), REPARTITION_BY_NUM") == 2
+            plain = rows.join(lookup, "k")
+            assert values(joined, *plain.columns) == values(plain, *plain.columns)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1000000")
+        joined = joins.spread_join(rows, numbers, "k", ["v"], None, rows=30_000)
+        assert "REPARTITION" not in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 def test_hot_keys_are_bounded_by_partitions(spark, monkeypatch):
     """However many keys are large, few are hot, since the limit follows the table."""
     monkeypatch.setattr(joins, "HOT_ROWS", 50)
