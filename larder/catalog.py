@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from larder import adapters, tables
 from larder import functions as fn
 from larder.operators import cleaning, documents, kpis, quality, report_text, reports, star
+from larder.operators.joins import most_rows
 from larder.plans import export, gold, ingest, silver
 from larder.plans.together import together
 from larder.sources import csv, parquet
@@ -36,13 +37,14 @@ def _merged(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _fact(spark: SparkSession, folder: str) -> DataFrame:
+def _fact(spark: SparkSession, folder: str, rows: int | None = None) -> DataFrame:
     return star.transactions_from_raw(
         _merged(spark, folder),
         adapters.orders(spark, folder),
         adapters.products(spark, folder),
         adapters.aisles(spark, folder),
         adapters.departments(spark, folder),
+        rows=rows,
     )
 
 
@@ -51,7 +53,8 @@ def _products(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _departments(spark: SparkSession, folder: str) -> DataFrame:
-    return kpis.department_metrics(_fact(spark, folder))
+    rows = most_rows(_merged(spark, folder))
+    return kpis.department_metrics(_fact(spark, folder, rows), rows)
 
 
 def _baskets(spark: SparkSession, folder: str) -> DataFrame:
@@ -69,7 +72,7 @@ def _gold(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         spark,
         {
             "products": lambda: staged(kpis.product_aggregates(fact)),
-            "departments": lambda: staged(kpis.department_metrics(fact)),
+            "departments": lambda: staged(kpis.department_metrics(fact, most_rows(fact))),
             "orders": lambda: staged(kpis.order_level(fact)),
         },
     )
@@ -448,7 +451,8 @@ def gold_reorder_metrics(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def gold_department_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    return kpis.gold_department_metrics(_fact(spark, folder))
+    rows = most_rows(_merged(spark, folder))
+    return kpis.gold_department_metrics(_fact(spark, folder, rows), rows)
 
 
 @query

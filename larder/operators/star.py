@@ -69,14 +69,16 @@ def transactions_from_raw(
     products: DataFrame,
     aisles: DataFrame,
     departments: DataFrame,
+    rows: int | None = None,
 ) -> DataFrame:
     """The same table straight from uncleaned inputs, as a single plan.
 
     The inner joins already drop lines of unknown orders and products, so the
     separate reference checks are left out, and duplicates are removed inside
     the partitions of the order join instead of after a shuffle of their own.
+    ``rows`` is the number of lines, where the caller knows it.
     """
-    rows = most_rows(lines)
+    rows = most_rows(lines) if rows is None else rows
     hot_orders = find_hot_keys(lines, "order_id", rows=rows)
     in_order = spread_join(
         cleaning.mergeable_lines(lines, hot_orders),

@@ -31,10 +31,10 @@ GOLD = {
 }
 
 
-def gold_table(name: str, parts: Mapping[str, DataFrame]) -> DataFrame:
-    """One of the five tables, from the product aggregates, the order level or the fact table."""
+def gold_table(name: str, parts: Mapping[str, DataFrame], rows: int | None = None) -> DataFrame:
+    """One of the five tables, from the product aggregates, the order level or the fact table of ``rows`` rows."""
     table, source = GOLD[name]
-    return table(parts[source])
+    return table(parts[source], rows) if source == "fact" else table(parts[source])
 
 
 def build_gold(spark: SparkSession, silver: str, gold: str) -> dict[str, str]:
@@ -50,9 +50,10 @@ def build_gold(spark: SparkSession, silver: str, gold: str) -> dict[str, str]:
     inputs = {tables.TRANSACTIONS: parquet.identity(spark, silver, tables.TRANSACTIONS)}
     fact = read_fact(spark, silver)
     stored = parquet.published(spark, silver, tables.TRANSACTIONS)
+    rows = stored.rows if stored else None
 
     def by_customer(fact: DataFrame) -> DataFrame:
-        hot = find_hot_keys(fact, "user_id", rows=stored.rows if stored else None)
+        hot = find_hot_keys(fact, "user_id", rows=rows)
         return kpis.orders_by_customer(fact, hot)
 
     chains = (
@@ -67,7 +68,7 @@ def build_gold(spark: SparkSession, silver: str, gold: str) -> dict[str, str]:
         if aggregate and missing:
             parts[shared] = staged(aggregate(fact))
         for name in names:
-            stage.table(name, inputs, lambda: checked(gold_table(name, parts), name))
+            stage.table(name, inputs, lambda: checked(gold_table(name, parts, rows), name))
 
     with scope(spark):
         together(spark, {chain[1]: partial(make, *chain) for chain in chains})

@@ -311,6 +311,23 @@ def test_departments_and_customers_are_not_shuffled_in_pairs(spark, tmp_path):
     assert sorted(found.collect()) == sorted(plain.collect())
 
 
+def test_customers_of_large_tables_are_counted_in_words(spark, monkeypatch):
+    """What a task of the last grouping holds does not grow with customers times tasks."""
+    ids = [0, 1, 63, 64, 64, 65, 127, 128, kpis.BITMAP_IDS, -1, -1, -64, -65, (1 << 63) - 1, -(1 << 63), None]
+    rows = [("a", i) for i in ids] + [("b", None), ("c", 5), ("d", 0), ("d", 0), (None, 4)]
+    fact = spark.createDataFrame(rows, "department string, user_id long")
+    found = kpis.department_metrics(fact, kpis.BITMAP_IDS).collect()
+    assert sorted(found) == [("a", 16, len(set(ids)) - 1), ("b", 1, 0), ("c", 1, 1), ("d", 2, 1)]
+    few = [sorted(catalog._departments(spark, SF).collect()), catalog.gold_department_metrics(spark, SF).collect()]
+    monkeypatch.setattr(kpis, "BITMAP_ROWS", 1000)
+    many = [catalog._departments(spark, SF), catalog.gold_department_metrics(spark, SF)]
+    for found in many:
+        text = found._jdf.queryExecution().executedPlan().toString()
+        assert "bit_or" in text and "bitmap" not in text
+        assert text.count("orders.parquet") == 1
+    assert [sorted(many[0].collect()), many[1].collect()] == few
+
+
 # --- sizes without jobs ------------------------------------------------------
 
 
