@@ -73,27 +73,40 @@ def best_rows(groups: DataFrame, spec: TableSpec) -> DataFrame:
     return groups.filter(F.col(BEST).isNotNull()).select(*spec.key, f"{BEST}.*").select(*spec.columns)
 
 
-def clean(df: DataFrame, spec: TableSpec, columns: Sequence[str] | None = None) -> DataFrame:
+def clean(
+    df: DataFrame,
+    spec: TableSpec,
+    columns: Sequence[str] | None = None,
+    tasks: int | None = None,
+) -> DataFrame:
     """Acceptable rows, one per key.
 
     With ``columns``, only the ranked columns up to the last one asked for are
-    carried; the row chosen per key is the same as without.
+    carried; the row chosen per key is the same as without.  With ``tasks``, rows first go by key
+    to so many tasks, where a join by the key goes on; for tables without a key that has
+    very many copies (``joins.lookup_tasks``).
     """
     rank = list(spec.rank)
     if columns is not None:
         asked = [name for name in rank if name in columns]
         rank = rank[: rank.index(asked[-1]) + 1] if asked else []
     rows = acceptable(df, spec).select(*spec.key, *rank)
+    if tasks is not None:
+        rows = rows.repartition(tasks, *spec.key)
     wanted = spec.columns if columns is None else columns
     return one_per_key(rows, spec.key, rank).select(*wanted)
 
 
-def clean_orders(orders: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    return clean(orders, tables.ORDERS, columns)
+def clean_orders(
+    orders: DataFrame, columns: Sequence[str] | None = None, tasks: int | None = None
+) -> DataFrame:
+    return clean(orders, tables.ORDERS, columns, tasks)
 
 
-def clean_products(products: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    return clean(products, tables.PRODUCTS, columns)
+def clean_products(
+    products: DataFrame, columns: Sequence[str] | None = None, tasks: int | None = None
+) -> DataFrame:
+    return clean(products, tables.PRODUCTS, columns, tasks)
 
 
 def clean_departments(departments: DataFrame) -> DataFrame:

@@ -97,6 +97,19 @@ def tasks_for(spark: SparkSession, rows: int) -> int | None:
     return max(-(-rows // TASK_ROWS), spark.sparkContext.defaultParallelism)
 
 
+def lookup_tasks(lookup: DataFrame, key: str, rows: int, own: int | None = None) -> int | None:
+    """Into how many tasks an uncleaned lookup table goes by its key before it is made one row per key.
+
+    For a join to ``rows`` rows, whose tasks it then lies in; ``own`` is the number of its own
+    rows, if it is known.  None where they are few, or where a key has very many copies:
+    those are merged on the map side, and what is left goes to the tasks of the join.
+    """
+    own = most_rows(lookup) if own is None else own
+    if tasks_for(lookup.sparkSession, own) is None or find_hot_keys(lookup, key, rows=own) is not None:
+        return None
+    return tasks_for(lookup.sparkSession, max(rows, own))
+
+
 def find_hot_keys(df: DataFrame, *key: str, rows: int | None = None) -> DataFrame | None:
     """The hot keys of ``df``, written down, or None.
 
@@ -125,6 +138,7 @@ def spread_join(
     how: str = "inner",
     null_shares: int = 1,
     rows: int | None = None,
+    placed: int | None = None,
 ) -> DataFrame:
     """Equi-join that stays balanced when a few keys hold most of the rows.
 
@@ -142,11 +156,12 @@ def spread_join(
 
     ``rows`` is the number of rows of the large side, if the caller knows it.  More than
     ``TASK_ROWS`` are dealt to a number of tasks that grows with them, so that a task
-    holds no more of a larger table.
+    holds no more of a larger table.  ``placed`` is the number of tasks (``lookup_tasks``) that the
+    lookup side lies in already, by its key; without hot keys it does not move again.
     """
     lone = F.when(F.col(key).isNull(), F.lit(null_shares))
     if hot is None and null_shares == 1:
-        return _dealt_join(large.withColumn(SALT, F.lit(0)), lookup, [key], how, rows)
+        return _dealt_join(large.withColumn(SALT, F.lit(0)), lookup, [key], how, rows, placed)
     if hot is None:
         hashed = F.pmod(F.xxhash64(*spread_by), F.coalesce(lone, F.lit(1))).cast("int")
         once = lookup.withColumn(SALT, F.lit(0))
@@ -180,17 +195,25 @@ def _broadcast_for_sure(lookup: DataFrame) -> bool:
 
 
 def _dealt_join(
-    large: DataFrame, lookup: DataFrame, keys: list[str], how: str, rows: int | None
+    large: DataFrame,
+    lookup: DataFrame,
+    keys: list[str],
+    how: str,
+    rows: int | None,
+    placed: int | None = None,
 ) -> DataFrame:
     """A join whose number of tasks follows the rows of the large side, if it moves them at all."""
-    tasks = None if rows is None else tasks_for(large.sparkSession, rows)
-    if tasks is None or _broadcast_for_sure(lookup):
-        return large.join(lookup, keys, how)
+    tasks = placed
+    if placed is None:
+        tasks = None if rows is None else tasks_for(large.sparkSession, rows)
+        if tasks is None or _broadcast_for_sure(lookup):
+            return large.join(lookup, keys, how)
+        lookup = lookup.repartition(tasks, *keys)
     if how == "left_semi":
         # as an inner join: Spark would move a semi join below the exchange and a union,
         # into joins of their own for each part, which share a task
         lookup, how = lookup.select(*keys).distinct(), "inner"
-    return large.repartition(tasks, *keys).join(lookup.repartition(tasks, *keys), keys, how)
+    return large.repartition(tasks, *keys).join(lookup, keys, how)
 
 
 def lookup_join(
@@ -202,12 +225,13 @@ def lookup_join(
     counted: DataFrame | None = None,
     size: Size | None = None,
     rows: int | None = None,
+    placed: int | None = None,
 ) -> DataFrame:
     """Broadcast the lookup side if it is small, else a spread join.
 
     ``size`` bounds the lookup side where the caller knows a bound, which saves
     measuring it; ``counted`` is where to look for hot keys in place of ``large``, and
-    ``rows`` how many rows that has.
+    ``rows`` how many rows that has; ``placed`` is as in ``spread_join``.
     """
     small = fits_broadcast(lookup) if size is None else size.fits_broadcast(len(lookup.columns))
     if small:
@@ -215,4 +239,4 @@ def lookup_join(
     counted = large if counted is None else counted
     rows = most_rows(counted) if rows is None else rows
     hot = find_hot_keys(counted, key, rows=rows)
-    return spread_join(large, lookup, key, spread_by, hot, how, rows=rows).drop(SALT)
+    return spread_join(large, lookup, key, spread_by, hot, how, rows=rows, placed=placed).drop(SALT)

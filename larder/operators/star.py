@@ -12,11 +12,14 @@ from larder.operators.joins import (
     SALT,
     Size,
     find_hot_keys,
+    fits_broadcast,
     lookup_join,
+    lookup_tasks,
     most_rows,
     spread_join,
 )
 from larder.sources.footers import row_bound
+from larder.sources.workspace import staged
 
 ORDER_CONTEXT = ["order_id", "user_id", "order_dow", "order_hour_of_day"]
 
@@ -26,7 +29,7 @@ def products_enriched(
 ) -> DataFrame:
     """Products with their aisle and department names, null where unknown.
 
-    No hints: Spark broadcasts the two name lists while their measured size
+    No hints of its own: Spark broadcasts the two name lists while their measured size
     allows it and shuffles otherwise.
     """
     return (
@@ -75,18 +78,26 @@ def transactions_from_raw(
 
     The inner joins already drop lines of unknown orders and products, so the
     separate reference checks are left out, and duplicates are removed inside
-    the partitions of the order join instead of after a shuffle of their own.
+    the partitions of the order join instead of after a shuffle of their own.  Large
+    tables of orders and products are made one row per id in the tasks of their joins.
     ``rows`` is the number of lines, where the caller knows it.
     """
     rows = most_rows(lines) if rows is None else rows
+    size = size_with_names(products, aisles, departments)
+    order_tasks = lookup_tasks(orders, "order_id", rows)
+    product_tasks = lookup_tasks(products, "product_id", rows, own=size.rows)
+    aisles, departments = cleaning.clean_aisles(aisles), cleaning.clean_departments(departments)
+    if product_tasks is not None:
+        aisles, departments = _planned_names(aisles), _planned_names(departments)
     hot_orders = find_hot_keys(lines, "order_id", rows=rows)
     in_order = spread_join(
         cleaning.mergeable_lines(lines, hot_orders),
-        cleaning.clean_orders(orders, columns=ORDER_CONTEXT),
+        cleaning.clean_orders(orders, columns=ORDER_CONTEXT, tasks=order_tasks),
         "order_id",
         spread_by=["product_id", "add_to_cart_order"],
         hot=hot_orders,
         rows=rows,
+        placed=order_tasks,
     )
     context = [name for name in ORDER_CONTEXT if name != "order_id"]
     once = in_order.groupBy(
@@ -94,15 +105,26 @@ def transactions_from_raw(
     ).agg(F.max("reordered").alias("reordered"))
     return _with_products(
         once,
-        cleaning.clean_products(products),
-        cleaning.clean_aisles(aisles),
-        cleaning.clean_departments(departments),
+        cleaning.clean_products(products, tasks=product_tasks),
+        aisles,
+        departments,
         counted=lines,
-        size=size_with_names(products, aisles, departments),
+        size=size,
         rows=rows,
+        placed=product_tasks,
     )
 
 
+def _planned_names(names: DataFrame) -> DataFrame:
+    """Names for very many products, written down and measured, with the join that this asks for.
+
+    A filter on a name turns the outer join into an inner one, and where the products are small
+    as a compressed file, Spark may then send all of them to every executor and into one task.
+    """
+    names = staged(names)
+    return F.broadcast(names) if fits_broadcast(names) else names.hint("merge")
+
+
 def size_with_names(products: DataFrame, aisles: DataFrame, departments: DataFrame) -> Size:
     """A bound of the products with their aisle and department names.
 
@@ -127,7 +149,7 @@ def size_with_names(products: DataFrame, aisles: DataFrame, departments: DataFra
     return Size(rows, 2 * (octets + rows * sum(widest)))
 
 
-def _with_products(lines, products, aisles, departments, counted, size, rows=None):
+def _with_products(lines, products, aisles, departments, counted, size, rows=None, placed=None):
     """Lines with the names of their products, aisles and departments."""
     named = lookup_join(
         lines.drop(SALT),
@@ -137,5 +159,6 @@ def _with_products(lines, products, aisles, departments, counted, size, rows=Non
         counted=counted,
         size=size,
         rows=rows,
+        placed=placed,
     )
     return named.select(*tables.TRANSACTION_COLUMNS)

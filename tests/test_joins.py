@@ -1,8 +1,11 @@
 import pytest
 from pyspark.sql import functions as F
 
+from larder import catalog
 from larder.operators import joins
 
+SF = "/root/testdata/sf0.001"
+
 
 @pytest.fixture
 def skewed(spark):
@@ -101,6 +104,40 @@ def test_rows_decide_whether_a_join_is_dealt(spark, tmp_path, monkeypatch):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
+def test_large_lookups_are_cleaned_in_the_tasks_of_their_joins(spark, monkeypatch):
+    """Orders and products are not grouped in Spark's own number of tasks, and move once."""
+    plain = catalog._fact(spark, SF)
+    expected = sorted(map(str, plain.collect()))
+    monkeypatch.setattr(joins, "TASK_ROWS", 150)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        # the names are sent, the products not
+        monkeypatch.setattr(joins.Size, "fits_broadcast", lambda size, *limits: size.rows < 200)
+        found = catalog._fact(spark, SF)
+        text = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    lines = joins.most_rows(catalog._merged(spark, SF))
+    for key in ("order_id", "product_id"):  # the lines and the lookup, and no exchange besides
+        moves = [move for move in text.split("Exchange ") if move.startswith(f"hashpartitioning({key}#")]
+        assert len(moves) == 2
+        assert all(f", {-(-lines // 150)}), REPARTITION_BY_NUM" in move for move in moves)
+    assert text.count("SortMergeJoin") == 2 and text.count("BroadcastHashJoin") == 2
+    assert sorted(map(str, found.collect())) == expected
+
+
+def test_many_copies_of_a_lookup_key_are_merged_before_they_move(spark, monkeypatch):
+    monkeypatch.setattr(joins, "TASK_ROWS", 1000)
+    monkeypatch.setattr(joins, "HOT_ROWS", 500)
+    even = spark.range(30_000).select(F.col("id").alias("k"))
+    copies = even.selectExpr("if(k % 3 = 0, 7, k) AS k")
+    assert joins.lookup_tasks(even, "k", 50_000) == 50
+    assert joins.lookup_tasks(even, "k", 10) == 30
+    assert joins.lookup_tasks(even.limit(900), "k", 50_000) is None
+    assert joins.lookup_tasks(copies, "k", 50_000) is None
+
+
 def test_hot_keys_are_bounded_by_partitions(spark, monkeypatch):
     """However many keys are large, few are hot, since the limit follows the table."""
     monkeypatch.setattr(joins, "HOT_ROWS", 50)
